@@ -342,12 +342,12 @@ ledger AS (
            CASE o_orderstatus WHEN 'O' THEN 'IN_PROGRESS' WHEN 'F' THEN 'FAILED' ELSE 'COMPLETED' END AS status,
            CASE WHEN o_orderstatus <> 'O' THEN 'step-' || substr(o_orderpriority, 1, 1) END AS current_step,
            CASE WHEN o_orderstatus <> 'O' THEN 'out/' || o_orderkey END AS output_prefix,
-           o_orderdate AS at, o_orderkey AS seq
+           o_orderdate AS stamp, o_orderkey AS seq
     FROM orders),
 current AS (
-    SELECT correlation_id, data_product, arg_max(status, (at, seq)) AS status,
-           arg_max(current_step, (at, seq)) FILTER (WHERE current_step IS NOT NULL) AS current_step,
-           arg_max(output_prefix, (at, seq)) FILTER (WHERE output_prefix IS NOT NULL) AS output_prefix
+    SELECT correlation_id, data_product, arg_max(status, (stamp, seq)) AS status,
+           arg_max(current_step, (stamp, seq)) FILTER (WHERE current_step IS NOT NULL) AS current_step,
+           arg_max(output_prefix, (stamp, seq)) FILTER (WHERE output_prefix IS NOT NULL) AS output_prefix
     FROM ledger GROUP BY ALL),
 requests AS (
     SELECT 'c' || c_custkey AS correlation_id,

@@ -95,12 +95,20 @@ def split_lines(spark, sf):
 def publish(spark, sf) -> tuple[str, str]:
     """Decode, write and publish all documents; returns the database and the root of the files."""
     root, database = new_run_dir(spark, "published"), _new_database(spark)
-    files.write_decoded(_decoded(spark, sf, "ctr", "gzip"), root, ["collection"])
-    docs = i.table(spark, sf, "documents").select(F.concat(F.lit("db."), "source", F.lit("."), "lang").alias("collection"))
-    named = docs.distinct().withColumn("table_name", names.table_name(F.col("collection")))
-    for row in named.toLocalIterator():
-        location = files.lines_location(root, collection=row["collection"])
-        tables.publish_raw_table(spark, f"{database}.{row['table_name']}", location)
+    docs = i.table(spark, sf, "documents").select(
+        F.concat(F.lit("db."), "source", F.lit("."), "lang").alias("collection"), F.octet_length("text").alias("length")
+    )
+    found = docs.groupBy("collection", names.table_name(F.col("collection")).alias("table_name")).agg(
+        F.sum("length").alias("total_bytes")
+    ).collect()  # one row per collection
+    compact = files.worth_compacting(sum(row["total_bytes"] for row in found))
+    files.write_decoded(_decoded(spark, sf, "ctr", "gzip"), root, ["collection"], compact)
+    locations = {
+        f"{database}.{row['table_name']}": files.lines_location(root, collection=row["collection"]) for row in found
+    }
+    errors = tables.publish_raw_tables(spark, locations)
+    if errors:
+        raise RuntimeError(str(errors))
     return database, root
 
 

@@ -111,7 +111,7 @@ def output_prefix(spark, sf):
 RUN_COUNTER = LEDGER + """
     , counted AS (
         SELECT correlation_id, data_product, seq,
-               row_number() OVER (PARTITION BY correlation_id, data_product ORDER BY at, seq) AS run_id FROM ledger)"""
+               row_number() OVER (PARTITION BY correlation_id, data_product ORDER BY stamp, seq) AS run_id FROM ledger)"""
 
 
 def _counted(spark, sf):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -17,6 +18,8 @@ from snapforge.sinks import files, tables
 from snapforge.sources import objects
 from snapforge.sources import tables as sources
 
+log = logging.getLogger(__name__)
+
 # Above this many collections the file-name filter is left out and the join alone selects the files.
 MAX_GLOB_NAMES = 1000
 
@@ -108,9 +111,10 @@ def _name_glob(collections: list[str]) -> str | None:
 
 
 def _decode_and_write(
-    spark: SparkSession, run: Run, work: DataFrame, keys: DataFrame, collections: list[str], dated: bool
+    spark: SparkSession, run: Run, work: DataFrame, keys: DataFrame, sizes: dict[str, int], dated: bool
 ) -> set[str]:
     """Write the collections; returns those with a file that could not be decoded."""
+    collections = list(sizes)
     if not collections:
         return set()
     root = run.data_root if dated else run.prefix
@@ -124,17 +128,24 @@ def _decode_and_write(
     decoded = content_plan(
         spark, run.input_root, part, "ctr", "gzip", ["collection", "path"], _name_glob(collections)
     )
-    files.write_decoded(decoded.withColumn("export_date", F.lit(run.export_date)), root, by)
+    # Audit and equality are one file each in principle, so they are always put together.
+    compact = dated or files.worth_compacting(sum(sizes.values()))
+    files.write_decoded(decoded.withColumn("export_date", F.lit(run.export_date)), root, by, compact)
     failures = files.read_failures(spark, root, by)
     if dated:
         failures = failures.where(F.col("export_date") == run.export_date)
     return {row["collection"] for row in failures.select("collection").distinct().toLocalIterator()}
 
 
-def _location(run: Run, collection: str, dated: bool) -> str:
+def _location(spark: SparkSession, run: Run, collection: str, dated: bool) -> str:
+    """Folder of the written lines; made here if all files of the collection were empty."""
     if dated:
-        return files.lines_location(run.data_root, collection=collection, export_date=run.export_date)
-    return files.lines_location(run.prefix, collection=collection)
+        location = files.lines_location(run.data_root, collection=collection, export_date=run.export_date)
+    else:
+        location = files.lines_location(run.prefix, collection=collection)
+    if not files.exists(spark, location):
+        spark.createDataFrame([], "value string").write.text(location)
+    return location
 
 
 def publish_audit(spark: SparkSession, audit: Audit, lines: DataFrame, dates: Sequence[str]) -> None:
@@ -147,18 +158,14 @@ def publish_audit(spark: SparkSession, audit: Audit, lines: DataFrame, dates: Se
             tables.load_audit_projection(spark, audit.typed, table, columns, date_str, location)
 
 
-def _publish(spark: SparkSession, run: Run, collection: str, handler: str, table: str) -> None:
-    location = _location(run, collection, handler != "raw")
-    if not files.exists(spark, location):
-        spark.createDataFrame([], "value string").write.mode("overwrite").text(location)
+def _publish_dated(spark: SparkSession, run: Run, collection: str, handler: str) -> None:
+    location = _location(spark, run, collection, True)
     if handler == "audit":
         publish_audit(spark, run.audit, sources.read_lines(spark, location, run.export_date), [run.export_date])
-    elif handler == "equality":
+    else:
         tables.create_database(spark, run.equality_table.split(".")[0], run.equality_location)
         flat = flatten_equality(sources.read_lines(spark, location), F.lit(run.export_date))
         tables.append_equality(flat, run.equality_table)
-    else:
-        tables.publish_raw_table(spark, f"{run.full_database}.{table}", location)
 
 
 def run_snapshot(
@@ -194,22 +201,32 @@ def run_snapshot(
         note(row["collection"], state.PROCESSING)
     failed: set[str] = set()
     for dated in (False, True):
-        group = [row["collection"] for row in found if (row["handler"] != "raw") == dated]
+        group = {row["collection"]: row["total_bytes"] for row in found if (row["handler"] != "raw") == dated}
         failed |= _decode_and_write(spark, run, work, keys, group, dated)
 
+    raw = {}
     for row in found:
         collection = row["collection"]
         if collection in failed:
             note(collection, state.FAILED_PROCESSING)
             continue
         note(collection, state.PUBLISHING)
-        try:
-            if collection in shared:
-                raise ValueError(f"another collection is published as {row['table_name']}")
-            _publish(spark, run, collection, row["handler"], row["table_name"])
-            note(collection, state.COMPLETED)
-        except Exception:  # recorded; the other collections go on
-            note(collection, state.FAILED_PUBLISHING)
+        if collection in shared:
+            note(collection, state.FAILED_PUBLISHING)  # another collection has the same table name
+        elif row["handler"] == "raw":
+            raw[f"{run.full_database}.{row['table_name']}"] = collection
+        else:
+            try:
+                _publish_dated(spark, run, collection, row["handler"])
+                note(collection, state.COMPLETED)
+            except Exception as failure:  # recorded; the other collections go on
+                log.warning("publishing %s failed: %s", collection, failure)
+                note(collection, state.FAILED_PUBLISHING)
+    errors = tables.publish_raw_tables(spark, {table: _location(spark, run, c, False) for table, c in raw.items()})
+    for table, collection in raw.items():
+        if table in errors:
+            log.warning("publishing %s failed: %s", collection, errors[table])
+        note(collection, state.FAILED_PUBLISHING if table in errors else state.COMPLETED)
 
     if run.snapshot_type == "incremental":
         empty = listing.placeholders(config, work, run.prefix).collect()
