@@ -41,12 +41,14 @@ def _doc_collection() -> Column:
 def keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``path, name, length``: exports, re-exports of labelled documents in a second folder, names that do not
     follow the pattern, audit and equality exports, another prefix and the folder marker."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("labelled"))
     docs = table(spark, sf_dir, "documents").select(
         _export_name(_doc_collection(), F.col("doc_id")).alias("name"),
         F.octet_length("text").cast("long").alias("length"),
         "doc_id",
     )
-    labels = table(spark, sf_dir, "labels").select("doc_id")
+    folders = F.when(F.col("labelled"), F.array(F.lit(PREFIX), F.lit(PREFIX + "retry/"))).otherwise(F.array(F.lit(PREFIX)))
+    docs = docs.join(labels, "doc_id", "left").select("name", "length", F.explode(folders).alias("folder"))
     chats = table(spark, sf_dir, "conversations")
     events = table(spark, sf_dir, "events").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"))
     customers = table(spark, sf_dir, "customer").groupBy("c_nationkey")
@@ -56,8 +58,7 @@ def keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         return df.select(F.concat(F.lit(folder), name).alias("path"), name.alias("name"), F.col(length).alias("length"))
 
     parts = [
-        put(docs, PREFIX, "name", "length"),
-        put(docs.join(labels, "doc_id", "left_semi"), PREFIX + "retry/", "name", "length"),
+        docs.select(F.concat("folder", "name").alias("path"), "name", "length"),
         put(
             table(spark, sf_dir, "pages").withColumn("length", F.octet_length("html").cast("long")),
             PREFIX, F.concat(F.lit("page-"), F.col("page_id").cast("string")), "length",
@@ -174,26 +175,25 @@ def _secret(seed: Column, key_bytes: int) -> Column:
     return F.substring(F.unhex(F.sha2(seed, 256)), 1, key_bytes)
 
 
-def sealed(content: Column, cipher: str, codec: str, iv: Column, key: Column) -> Column:
-    """Compressed and encrypted content; both ciphers are their own inverse."""
-    start = crypto.ctr_start(iv) if cipher == "ctr" else crypto.eax_start(iv, key)
-    return crypto.ctr_transform((_gzip if codec == "gzip" else _zlib)(content), key, start)
-
-
 def objects(spark: SparkSession, sf_dir: str, cipher: str, codec: str) -> DataFrame:
     """``collection, path, content, iv, ciphertext, key_id, doc_id``: one export object per document.
 
-    The file text is the document and one newline; every source has a data key of its own.
+    The file text is the document and one newline; every source has a data key of its own. Both ciphers are
+    their own inverse, so the key stream that decrypts also encrypts.
     """
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"))
-    key = _secret(F.col("source"), 16 if cipher == "ctr" else 32)
-    iv = _secret(F.col("doc_id").cast("string"), 16)
-    text = F.encode(F.concat("text", F.lit("\n")), "UTF-8")
-    return docs.select(
+    keyed = docs.withColumns(
+        {
+            "key": _secret(F.col("source"), 16 if cipher == "ctr" else 32),
+            "nonce": _secret(F.col("doc_id").cast("string"), 16),
+        }
+    )
+    packed = (_gzip if codec == "gzip" else _zlib)(F.encode(F.concat("text", F.lit("\n")), "UTF-8"))
+    return crypto.with_start(keyed, cipher, "nonce", "key").select(
         _doc_collection().alias("collection"),
         F.concat(F.lit(PREFIX), _export_name(_doc_collection(), F.col("doc_id"))).alias("path"),
-        sealed(text, cipher, codec, iv, key).alias("content"),
-        F.base64(iv).alias("iv"),
+        crypto.ctr_transform(packed, F.col("key"), F.col("start")).alias("content"),
+        F.base64("nonce").alias("iv"),
         F.concat(F.lit("sealed-"), F.col("source")).alias("ciphertext"),
         F.lit("master-1").alias("key_id"),
         "doc_id",
@@ -217,7 +217,7 @@ AUDIT_FIELDS = {"event_id": "event_id", "event_type": "event_type", "userid": "u
 def audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, val, date_str``: events as JSON; those of type error are cut short, those of type click have
     keys in capitals."""
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     line = F.format_string(
         '{"event_id":%d,"event_type":"%s","userId":"%d","props":%s}', "event_id", "event_type", "user_id", "props"
     )
@@ -417,7 +417,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "click", "WARNING").otherwise("INFO"), F.lit('", "message": "'), message,
         F.lit('" }'),
     )
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         F.when(F.col("event_type") == "error", F.lit("Traceback (most recent call last):")).otherwise(line).alias("value")
     )
 

@@ -257,7 +257,7 @@ ALERT = "WITH " + i.ALERT_SQL
     SELECT event_id, kind, rule, CASE WHEN rule IN ('terminated', 'success_with_errors') THEN 'High'
            ELSE 'Critical' END AS severity FROM classified""")
 def alert_class(spark, sf):
-    events = alerts.parse_events(i.cluster_events(i.table(spark, sf, "events")))
+    events = alerts.parse_events(i.cluster_events(i.spread(i.table(spark, sf, "events"))))
     return alerts.classify(events, i.CLUSTERS).select(
         "event_id", "kind", "rule", codes.severity(F.col("rule")).alias("severity")
     )
@@ -269,7 +269,7 @@ def _readable(fired):
 
 @query("alarm_windows", ALERT + "SELECT * FROM windows")
 def alarm_windows(spark, sf):
-    events = alerts.parse_events(i.cluster_events(i.table(spark, sf, "events")))
+    events = alerts.parse_events(i.cluster_events(i.spread(i.table(spark, sf, "events"))))
     return _readable(alerts.alarm_windows(alerts.classify(events, i.CLUSTERS)))
 
 

@@ -49,9 +49,9 @@ class Exports:
             digest = hashlib.sha256(name.encode()).digest()
             rows.append((name, bytearray(packed), bytearray(digest[:16]), bytearray(digest[16:])))
         frame = self.spark.createDataFrame(rows, "name string, data binary, iv binary, key binary")
-        iv, key = F.col("iv"), F.col("key")
-        start = crypto.ctr_start(iv) if self.cipher == "ctr" else crypto.eax_start(iv, key)
-        for row in frame.withColumn("sealed", crypto.ctr_transform(F.col("data"), key, start)).collect():
+        started = crypto.with_start(frame, self.cipher, "iv", "key")
+        sealed = crypto.ctr_transform(F.col("data"), F.col("key"), F.col("start"))
+        for row in started.withColumn("sealed", sealed).collect():
             target = self.root / row["name"]
             target.parent.mkdir(parents=True, exist_ok=True)
             target.write_bytes(row["sealed"])
