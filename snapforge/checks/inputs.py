@@ -365,7 +365,8 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def observed(events: DataFrame) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
+    events = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    k = F.col("k")
     state = (
         F.when(k == 7, "FAILED").when(k == 8, "CANCELLED").when(k >= 90, "COMPLETED")
         .when(k >= 50, "RUNNING").otherwise("PENDING")

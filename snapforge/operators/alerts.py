@@ -53,8 +53,10 @@ def classify(events: DataFrame, clusters: Mapping[str, str]) -> DataFrame:
     for outcome, reason in REASONS.items():
         rule = rule.when(matches(["TERMINATED"], names, [reason]), outcome)
     kinds = {name: kind for kind, name in clusters.items()}
-    return events.withColumn("kind", codes.lookup(kinds, F.col("name"))).withColumn("rule", rule).where(
-        F.col("rule").isNotNull()
+    # Exploding none or one rule drops the other events; a filter would be pushed down with a copy of the parse
+    # for every field it looks at.
+    return events.withColumn("kind", codes.lookup(kinds, F.col("name"))).withColumn(
+        "rule", F.explode(F.array_compact(F.array(rule)))
     )
 
 
