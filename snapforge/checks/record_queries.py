@@ -34,10 +34,12 @@ def _new_database(spark) -> str:
     return name
 
 
-def _decoded(spark, sf, cipher: str, codec: str, objects: DataFrame | None = None) -> DataFrame:
+def _decoded(spark, sf, cipher: str, codec: str, objects: DataFrame | None = None, lineage: bool = True) -> DataFrame:
     objects = i.objects(spark, sf, cipher, codec) if objects is None else objects
     keyed = lookup.join_measured(objects, i.key_table(spark, sf, cipher), "ciphertext", "left")
-    return decode.decode_objects(keyed, cipher, codec, ["collection", "path"])
+    if lineage:
+        return decode.decode_objects(keyed, cipher, codec, ["collection", "path"])
+    return decode.decode_objects(keyed, cipher, codec, ["collection"], error_only=["path"])
 
 
 LINES_SQL = "WITH " + i.KEYS_SQL + """
@@ -102,7 +104,7 @@ def publish(spark, sf) -> tuple[str, str]:
         F.sum("length").alias("total_bytes")
     ).collect()  # one row per collection
     compact = files.worth_compacting(sum(row["total_bytes"] for row in found))
-    files.write_decoded(_decoded(spark, sf, "ctr", "gzip"), root, ["collection"], compact)
+    files.write_decoded(_decoded(spark, sf, "ctr", "gzip", lineage=False), root, ["collection"], compact)
     locations = {
         f"{database}.{row['table_name']}": files.lines_location(root, collection=row["collection"]) for row in found
     }

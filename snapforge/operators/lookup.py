@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BYTES = 64 * 1024 * 1024
+MAX_BYTES = 128 * 1024 * 1024
 
 
 def measured_bytes(df: DataFrame) -> int:

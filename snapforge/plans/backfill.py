@@ -64,7 +64,7 @@ def _decode_days(
             files.delete_prefix(
                 spark, f"{job.output_root}/kind={kind}/collection={job.collection}/export_date={day}"
             )
-    decoded = content_plan(spark, folders, work, "eax", "zlib", [*by, "path"])
+    decoded = content_plan(spark, folders, work, "eax", "zlib", by)
     files.write_decoded(decoded, job.output_root, by, compact=True)
     for row in work.select("export_date").distinct().toLocalIterator():
         outcome[row["export_date"]] = state.COMPLETED

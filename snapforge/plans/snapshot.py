@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from snapforge.functions import names
+from snapforge.functions import dates, names
 from snapforge.operators import decode, listing, lookup, notices, state
 from snapforge.operators.records import flatten_equality
 from snapforge.session import new_run_dir
@@ -20,6 +20,8 @@ from snapforge.sources import tables as sources
 
 log = logging.getLogger(__name__)
 
+# Files per decode job, so that their metadata stays well within what is broadcast (about 400 bytes a file).
+MAX_FILES_PER_JOB = 200_000
 # Above this many collections the file-name filter is left out and the join alone selects the files.
 MAX_GLOB_NAMES = 1000
 
@@ -76,6 +78,20 @@ class Run:
         return self.database if self.snapshot_type == "full" else f"{self.database}_incremental"
 
 
+def continued(spark: SparkSession, run: Run) -> Run:
+    """The run, continuing the prefix of an earlier one with the same correlation id if the ledger has one."""
+    table = f"{run.state_database}.run_ledger"
+    if not spark.catalog.tableExists(table):
+        return run
+    asked = spark.createDataFrame(
+        [(run.correlation_id, f"snapshot-{run.snapshot_type}", run.snapshot_type)],
+        "correlation_id string, data_product string, snapshot_type string",
+    )
+    earlier = sources.ledger_rows(spark.table(table), run.correlation_id, f"snapshot-{run.snapshot_type}")
+    row = state.output_prefix(asked, state.ledger_current(earlier, ["at"]), run.output_root, run.run_stamp).first()
+    return replace(run, existing_prefix=row["output_prefix"]) if row["existing"] else run
+
+
 def listing_plan(spark: SparkSession, run: Run, config: DataFrame, manifest: DataFrame) -> DataFrame:
     """Metadata only: ``path, collection, handler, length, iv, ciphertext`` of every file to be decoded.
 
@@ -101,7 +117,7 @@ def content_plan(
     content = objects.read_objects(spark, root, name_glob)
     content = content.withColumn("path", files.plain_path(F.col("path")))
     joined = lookup.join_measured(content, work, "path")
-    return decode.decode_objects(joined, cipher, codec, carry)
+    return decode.decode_objects(joined, cipher, codec, carry, error_only=["path"])
 
 
 def _name_glob(collections: list[str]) -> str | None:
@@ -110,27 +126,41 @@ def _name_glob(collections: list[str]) -> str | None:
     return "{" + ",".join(sorted(collections)) + "}*"
 
 
+def _jobs(counts: Mapping[str, int]) -> list[list[str]]:
+    """Collections put together so that one job takes no more files than its metadata can be broadcast for.
+
+    A collection that is larger by itself gets a job of its own; its join then falls back to a shuffle.
+    """
+    jobs: list[list[str]] = []
+    room = 0
+    for collection in sorted(counts):
+        if not jobs or counts[collection] > room:
+            jobs.append([])
+            room = MAX_FILES_PER_JOB
+        jobs[-1].append(collection)
+        room -= counts[collection]
+    return jobs
+
+
 def _decode_and_write(
-    spark: SparkSession, run: Run, work: DataFrame, keys: DataFrame, sizes: dict[str, int], dated: bool
+    spark: SparkSession, run: Run, work: DataFrame, keys: DataFrame, found: Sequence[Row], dated: bool
 ) -> set[str]:
     """Write the collections; returns those with a file that could not be decoded."""
-    collections = list(sizes)
-    if not collections:
+    if not found:
         return set()
     root = run.data_root if dated else run.prefix
     by = ["collection", "export_date"] if dated else ["collection"]
-    for collection in collections:
+    for row in found:
         for kind in (files.LINES, files.ERRORS):
-            stale = f"{root}/kind={kind}/collection={collection}"
+            stale = f"{root}/kind={kind}/collection={row['collection']}"
             files.delete_prefix(spark, f"{stale}/export_date={run.export_date}" if dated else stale)
-    part = decode.with_plain_keys(work.where((F.col("handler") != "raw") == dated), keys)
-    part = part.select("path", "collection", "iv", "plain_key")
-    decoded = content_plan(
-        spark, run.input_root, part, "ctr", "gzip", ["collection", "path"], _name_glob(collections)
-    )
     # Audit and equality are one file each in principle, so they are always put together.
-    compact = dated or files.worth_compacting(sum(sizes.values()))
-    files.write_decoded(decoded.withColumn("export_date", F.lit(run.export_date)), root, by, compact)
+    compact = dated or files.worth_compacting(sum(row["total_bytes"] for row in found))
+    keyed = decode.with_plain_keys(work, keys).select("path", "collection", "iv", "plain_key")
+    for job in _jobs({row["collection"]: row["n_files"] for row in found}):
+        part = keyed.where(F.col("collection").isin(job))
+        decoded = content_plan(spark, run.input_root, part, "ctr", "gzip", ["collection"], _name_glob(job))
+        files.write_decoded(decoded.withColumn("export_date", F.lit(run.export_date)), root, by, compact)
     failures = files.read_failures(spark, root, by)
     if dated:
         failures = failures.where(F.col("export_date") == run.export_date)
@@ -191,7 +221,7 @@ def run_snapshot(
     work = listing_plan(spark, run, config, manifest)
     found = (
         work.groupBy("collection", "handler")
-        .agg(F.sum("length").alias("total_bytes"))
+        .agg(F.sum("length").alias("total_bytes"), F.count("*").alias("n_files"))
         .withColumn("table_name", names.table_name(F.col("collection")))
         .orderBy("collection")
         .collect()  # one row per configured collection
@@ -201,7 +231,7 @@ def run_snapshot(
         note(row["collection"], state.PROCESSING)
     failed: set[str] = set()
     for dated in (False, True):
-        group = {row["collection"]: row["total_bytes"] for row in found if (row["handler"] != "raw") == dated}
+        group = [row for row in found if (row["handler"] != "raw") == dated]
         failed |= _decode_and_write(spark, run, work, keys, group, dated)
 
     raw = {}
@@ -272,18 +302,29 @@ def _record(
 
     broken = latest.where(state.is_failed(F.col("status"))).orderBy("collection").collect()
     ended = state.RUN_FAILED if broken else state.RUN_COMPLETED
-    ledger = spark.createDataFrame(
-        [
-            (run.correlation_id, f"snapshot-{run.snapshot_type}", run.export_date, ended, run.input_root, run.prefix,
-             run.snapshot_type, started, run.clock())
-        ],
-        "correlation_id string, data_product string, date string, status string, input_prefix string,"
-        " output_prefix string, snapshot_type string, started_at timestamp, at timestamp",
+    product = f"snapshot-{run.snapshot_type}"
+    asked = spark.createDataFrame([(run.correlation_id, product)], "correlation_id string, data_product string")
+    table = f"{store}.run_ledger"
+    run_id = state.next_run_id(asked, spark.table(table)).first()["run_id"] if spark.catalog.tableExists(table) else 1
+    ledger = asked.select(
+        "correlation_id",
+        "data_product",
+        F.lit(run_id).cast("long").alias("run_id"),
+        F.lit(run.export_date).alias("date"),
+        F.lit(ended).alias("status"),
+        F.lit(run.input_root).alias("input_prefix"),
+        F.lit(run.prefix).alias("output_prefix"),
+        F.lit(run.snapshot_type).alias("snapshot_type"),
+        F.lit(started).alias("started_at"),
+        now.alias("at"),
+        dates.expires_at(now).alias("expires_at"),
+    )
+    tables.append_state(ledger, table)
+    parameters = ledger.select(
+        "correlation_id", F.col("output_prefix").alias("s3_prefix"), "snapshot_type", F.col("date").alias("export_date")
     )
-    tables.append_state(ledger, f"{store}.run_ledger")
+    if not broken:
+        files.write_run_parameters(parameters, f"{run.output_root}/{run.snapshot_type}/run_parameters")
     if broken:
         raise RunFailed(", ".join(f"{row['collection']}: {row['status']}" for row in broken))
-    parameters = ledger.select("correlation_id", F.col("output_prefix").alias("s3_prefix"), "snapshot_type",
-                               F.col("date").alias("export_date"))
-    files.write_run_parameters(parameters, f"{run.output_root}/{run.snapshot_type}/run_parameters")
     return latest

@@ -11,7 +11,7 @@ from pathlib import Path
 import pytest
 
 from snapforge.plans.backfill import Backfill, backfill_audit, backfill_equality
-from snapforge.plans.snapshot import Audit, Run, RunFailed, run_snapshot
+from snapforge.plans.snapshot import Audit, Run, RunFailed, _jobs, continued, run_snapshot
 from snapforge.sources import tables as sources
 
 DATE = "2021-07-02"
@@ -124,10 +124,14 @@ def test_failed_collection_and_rerun(spark, exports, make_run):
 
     before = {p: p.stat().st_mtime_ns for p in Path(run.prefix).rglob("*contract*/part-*")}
     repaired = exports().write({"db.core.contract.01.gz.enc": "not read again", "db.core.accounts.01.gz.enc": "good", "db.core.accounts.02.gz.enc": "repaired"})
-    again = make_run(repaired, existing_prefix=run.prefix)
+    again = continued(spark, make_run(repaired, run_stamp="another"))
+    assert again.existing_prefix == run.prefix
+    assert continued(spark, make_run(repaired, correlation_id="run-2")).existing_prefix is None
     latest = run_snapshot(spark, again, both, repaired.manifest, repaired.key_table)
     assert [(r["collection"], r["status"]) for r in latest.collect()] == [("db.core.accounts", "Completed")]
     assert values(spark, f"{run.database}.core_accounts") == ["good", "repaired"]
+    ledger = spark.table(f"{run.state_database}.run_ledger").orderBy("run_id").collect()
+    assert [(r["run_id"], r["status"]) for r in ledger] == [(1, "FAILED"), (2, "COMPLETED")]
     assert before == {p: p.stat().st_mtime_ns for p in Path(run.prefix).rglob("*contract*/part-*")}
 
 
@@ -224,3 +228,18 @@ def test_equality_backfill(spark, exports, tmp_path):
     assert spark.table(table).select("ethnicGroup").first()[0] == "hij"
     written = next(Path(job.output_root).rglob("part-*.gz"))
     assert gzip.decompress(written.read_bytes()).decode() == EQUALITY_LINE + "\n"
+
+
+def test_jobs_stay_within_the_file_limit(monkeypatch):
+    monkeypatch.setattr("snapforge.plans.snapshot.MAX_FILES_PER_JOB", 10)
+    assert _jobs({"a": 4, "b": 6, "c": 1, "d": 50, "e": 9}) == [["a", "b"], ["c"], ["d"], ["e"]]
+
+
+def test_many_jobs_give_the_same_tables(spark, exports, make_run, monkeypatch):
+    monkeypatch.setattr("snapforge.plans.snapshot.MAX_FILES_PER_JOB", 1)
+    monkeypatch.setattr("snapforge.sinks.files.COMPACT_BELOW", 0)
+    made = exports().write({"db.core.contract.1.gz": "a", "db.core.contract.2.gz": "b", "db.core.contractual.1.gz": "c"})
+    run = make_run(made)
+    run_snapshot(spark, run, config(spark, "db.core.contract", "db.core.contractual"), made.manifest, made.key_table)
+    assert values(spark, f"{run.database}.core_contract") == ["a", "b"]
+    assert values(spark, f"{run.database}.core_contractual") == ["c"]
