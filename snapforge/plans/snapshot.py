@@ -217,6 +217,10 @@ def run_snapshot(
     if run.existing_prefix:
         earlier = sources.status_of_run(spark.table(f"{run.state_database}.collection_status"), run.correlation_id)
         config = state.collections_to_run(config, state.failed_collections(earlier, ["at", "seq"]), True)
+        # Fixed here: this run adds to the statuses the choice was made from.
+        location = new_run_dir(spark, "config")
+        config.write.parquet(location)
+        config = spark.read.schema(config.schema).parquet(location)
 
     work = listing_plan(spark, run, config, manifest)
     found = (
@@ -267,6 +271,13 @@ def run_snapshot(
     return _record(spark, run, config, work, statuses, started)
 
 
+def _sizes(objects_of: DataFrame, everything: DataFrame) -> DataFrame:
+    """Bytes per collection, and as ``all_collections`` what lies below the whole prefix."""
+    each = objects_of.groupBy("collection").agg(F.sum("length").alias("total_bytes"))
+    total = everything.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"))
+    return each.unionByName(total.withColumn("collection", F.lit("all_collections")))
+
+
 def _record(
     spark: SparkSession, run: Run, config: DataFrame, work: DataFrame, statuses: list[tuple], started: datetime
 ) -> DataFrame:
@@ -276,22 +287,22 @@ def _record(
     store = run.state_database
 
     tables.append_state(noted, f"{store}.collection_status")
-    written = []
-    for dated in (False, True):
-        root = run.data_root if dated else run.prefix
+    now = F.lit(run.clock())
+    handled = work.select("collection").distinct()
+    sized = [
+        _sizes(work, objects.list_objects(spark, run.input_root)).withColumn("metric", F.lit("input_bytes"))
+    ]
+    written = None
+    for root, suffix in ((run.prefix, ""), (run.data_root, f"/export_date={run.export_date}/")):
         if files.exists(spark, f"{root}/kind={files.LINES}"):
-            out = objects.list_objects(spark, f"{root}/kind={files.LINES}")
+            out = objects.list_objects(spark, f"{root}/kind={files.LINES}").where(F.contains("path", F.lit(suffix)))
             out = out.withColumn("collection", F.regexp_extract("path", "/collection=([^/]+)/", 1))
-            if dated:
-                out = out.where(F.contains("path", F.lit(f"/export_date={run.export_date}/")))
-            written.append(out)
-    now = F.lit(run.clock())
-    sized = [listing.sizes(work).withColumn("metric", F.lit("input_bytes"))]
-    for out in written[1:]:
-        written[0] = written[0].unionByName(out)
-    if written:
-        sized.append(listing.sizes(written[0]).withColumn("metric", F.lit("output_bytes")))
-        tags = listing.tags_of(written[0], config, run.snapshot_type)
+            out = out.join(handled, "collection", "left_semi")
+            written = out if written is None else written.unionByName(out)
+    if written is not None:
+        total = objects.list_objects(spark, run.prefix) if files.exists(spark, run.prefix) else written
+        sized.append(_sizes(written, total).withColumn("metric", F.lit("output_bytes")))
+        tags = listing.tags_of(written, config, run.snapshot_type)
         tables.append_state(tags, f"{store}.object_tags")
     spans = state.elapsed(noted, "at").select("collection", F.col("seconds").alias("total_bytes"))
     sized.append(spans.withColumn("metric", F.lit("seconds")))
@@ -323,8 +334,7 @@ def _record(
     parameters = ledger.select(
         "correlation_id", F.col("output_prefix").alias("s3_prefix"), "snapshot_type", F.col("date").alias("export_date")
     )
-    if not broken:
-        files.write_run_parameters(parameters, f"{run.output_root}/{run.snapshot_type}/run_parameters")
     if broken:
         raise RunFailed(", ".join(f"{row['collection']}: {row['status']}" for row in broken))
+    files.write_run_parameters(parameters, f"{run.output_root}/{run.snapshot_type}/run_parameters")
     return latest

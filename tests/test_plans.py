@@ -83,7 +83,8 @@ def test_full_run(spark, exports, make_run):
     metrics = {(r["metric"], r["collection"]): r["value"] for r in spark.table(f"{store}.metrics").collect()}
     size = sum(p.stat().st_size for p in Path(made.root).rglob("db.core.contract*"))
     assert metrics["input_bytes", "db.core.contract"] == size
-    assert metrics["input_bytes", "all_collections"] == metrics["input_bytes", "db.core.accounts"] + size
+    everything = sum(p.stat().st_size for p in Path(made.root).rglob("*") if p.is_file())
+    assert metrics["input_bytes", "all_collections"] == everything > metrics["input_bytes", "db.core.accounts"] + size
     assert metrics["seconds", "db.core.contract"] > 0 and ("output_bytes", "all_collections") in metrics
     parameters = sources.read_run_parameters(spark, f"{run.output_root}/full/run_parameters").first().asDict()
     assert parameters == {"correlation_id": "run-1", "s3_prefix": run.prefix, "snapshot_type": "full", "export_date": DATE}
@@ -122,6 +123,7 @@ def test_failed_collection_and_rerun(spark, exports, make_run):
     assert [(n["collection"], n["status"]) for n in notice] == [("db.core.accounts", "Failed_Processing")]
     assert spark.table(f"{run.state_database}.run_ledger").first()["status"] == "FAILED"
 
+    tagged = spark.table(f"{run.state_database}.object_tags").count()
     before = {p: p.stat().st_mtime_ns for p in Path(run.prefix).rglob("*contract*/part-*")}
     repaired = exports().write({"db.core.contract.01.gz.enc": "not read again", "db.core.accounts.01.gz.enc": "good", "db.core.accounts.02.gz.enc": "repaired"})
     again = continued(spark, make_run(repaired, run_stamp="another"))
@@ -130,6 +132,8 @@ def test_failed_collection_and_rerun(spark, exports, make_run):
     latest = run_snapshot(spark, again, both, repaired.manifest, repaired.key_table)
     assert [(r["collection"], r["status"]) for r in latest.collect()] == [("db.core.accounts", "Completed")]
     assert values(spark, f"{run.database}.core_accounts") == ["good", "repaired"]
+    tags = spark.table(f"{run.state_database}.object_tags")
+    assert tags.count() > tagged and tags.where("key = 'collection_tag'").count() == 0
     ledger = spark.table(f"{run.state_database}.run_ledger").orderBy("run_id").collect()
     assert [(r["run_id"], r["status"]) for r in ledger] == [(1, "FAILED"), (2, "COMPLETED")]
     assert before == {p: p.stat().st_mtime_ns for p in Path(run.prefix).rglob("*contract*/part-*")}
