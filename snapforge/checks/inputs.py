@@ -438,7 +438,8 @@ CLUSTERS = {"full": "snapshot-full", "incremental": "snapshot-incremental"}
 
 
 def cluster_events(events: DataFrame) -> DataFrame:
-    """``event_id, ts, value``: events as cluster state changes; large values belong to another cluster."""
+    """``event_id, ts, value``: events as cluster state changes; large values belong to another cluster, and small
+    ones of type signup ended for a reason no rule knows."""
     from snapforge.operators import alerts
 
     state = (
@@ -449,7 +450,7 @@ def cluster_events(events: DataFrame) -> DataFrame:
     reason = (
         F.when(F.col("event_type") == "click", alerts.REASONS["terminated"])
         .when(F.col("event_type") == "purchase", alerts.REASONS["success"])
-        .when(F.col("user_id") % 2 == 0, alerts.REASONS["success_with_errors"])
+        .when(F.col("value") >= 5, alerts.REASONS["success_with_errors"])
         .otherwise("unknown")
     )
     name = F.when(F.col("value") < 10, "snapshot-full").when(F.col("value") < 40, "snapshot-incremental").otherwise("other")
@@ -466,7 +467,7 @@ classified AS (
            CASE event_type WHEN 'error' THEN 'failed' WHEN 'view' THEN 'running' WHEN 'click' THEN 'terminated'
                 WHEN 'purchase' THEN 'success' ELSE 'success_with_errors' END AS rule
     FROM events
-    WHERE value < 40 AND (event_type <> 'signup' OR user_id % 2 = 0)),
+    WHERE value < 40 AND (event_type <> 'signup' OR value >= 5)),
 windows AS (
     SELECT strftime(time_bucket(INTERVAL 60 SECOND, ts), '%Y-%m-%d %H:%M:%S') AS window_start, kind, rule,
            count(*) AS n,

@@ -125,11 +125,8 @@ def publish_raw(spark, sf):
 
 
 @query("published_tables", """
-    SELECT source || '_' || lang AS table_name, min(string_split(text, chr(10))[1]) AS sample
-    FROM documents WHERE false GROUP BY ALL
-    UNION ALL
-    SELECT source || '_' || lang, min(line) FROM (
-        SELECT source, lang, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY source, lang""")
+    SELECT source || '_' || lang AS table_name, min(line) AS sample
+    FROM (SELECT source, lang, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY source, lang""")
 def published_tables(spark, sf):
     """Read through the tables themselves: the smallest line of each."""
     database, _ = publish(spark, sf)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from snapforge.functions import dates, names
-from snapforge.operators import decode, listing, lookup, notices, state
+from snapforge.operators import decode, listing, lookup, notices, parameters, state
 from snapforge.operators.records import flatten_equality
 from snapforge.session import new_run_dir
 from snapforge.sinks import files, tables
@@ -65,6 +65,14 @@ class Run:
     existing_prefix: str | None = None
     clock: Callable[[], datetime] = datetime.now
 
+    def __post_init__(self) -> None:
+        empty = [name for name in ("correlation_id", "input_root", "output_root") if not getattr(self, name)]
+        if empty:
+            raise ValueError(f"missing {', '.join(empty)}")
+        if self.snapshot_type not in (parameters.FULL, parameters.INCREMENTAL):
+            raise ValueError("snapshot_type must be full or incremental")
+        datetime.strptime(self.export_date, "%Y-%m-%d")
+
     @property
     def prefix(self) -> str:
         return self.existing_prefix or f"{self.output_root}/{self.snapshot_type}/{self.run_stamp}"
@@ -331,10 +339,10 @@ def _record(
         dates.expires_at(now).alias("expires_at"),
     )
     tables.append_state(ledger, table)
-    parameters = ledger.select(
+    announced = ledger.select(
         "correlation_id", F.col("output_prefix").alias("s3_prefix"), "snapshot_type", F.col("date").alias("export_date")
     )
     if broken:
         raise RunFailed(", ".join(f"{row['collection']}: {row['status']}" for row in broken))
-    files.write_run_parameters(parameters, f"{run.output_root}/{run.snapshot_type}/run_parameters")
+    files.write_run_parameters(announced, f"{run.output_root}/{run.snapshot_type}/run_parameters")
     return latest

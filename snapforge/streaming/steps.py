@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from snapforge.operators import changes
 from snapforge.operators.records import latest_version
-from snapforge.sinks.files import exists
+from snapforge.sinks.files import delete_prefix, exists
 
 
 def _earlier(spark: SparkSession, location: str, batch_id: int) -> DataFrame | None:
@@ -54,6 +54,7 @@ def follow_steps(
         ends = seen.groupBy("correlation_id").agg(F.max(F.col("_ended") | final).alias("_ended"))
         newest = latest_version(seen.drop("_ended"), ["correlation_id"], order)
         newest.join(ends, "correlation_id").write.mode("overwrite").parquet(f"{memory}/batch_id={batch_id}")
+        delete_prefix(spark, f"{memory}/batch_id={batch_id - 2}")  # a repeated batch needs the one before only
 
     return (
         observations.writeStream.option("checkpointLocation", checkpoint)

@@ -227,7 +227,7 @@ def test_equality_backfill(spark, exports, tmp_path):
     made = exports("eax", "zlib").write({"2021-07-02/equality.1.json.gz.enc": EQUALITY_LINE + "\n"})
     table = f"equality_{uuid.uuid4().hex[:8]}.equality_managed"
     job = Backfill("run-1", DATE, DATE, str(made.root), str(tmp_path / "out"), "db.data.equality", "2021-08-01")
-    backfill_equality(spark, job, table, str(tmp_path / "uc_equality"), made.manifest, made.key_table)
+    backfill_equality(spark, job, table, str(tmp_path / "equality"), made.manifest, made.key_table)
     assert [str(r["load_date"]) for r in spark.table(table).collect()] == ["2021-08-01"]
     assert spark.table(table).select("ethnicGroup").first()[0] == "hij"
     written = next(Path(job.output_root).rglob("part-*.gz"))
@@ -247,3 +247,9 @@ def test_many_jobs_give_the_same_tables(spark, exports, make_run, monkeypatch):
     run_snapshot(spark, run, config(spark, "db.core.contract", "db.core.contractual"), made.manifest, made.key_table)
     assert values(spark, f"{run.database}.core_contract") == ["a", "b"]
     assert values(spark, f"{run.database}.core_contractual") == ["c"]
+
+
+@pytest.mark.parametrize("change", [{"snapshot_type": "partial"}, {"correlation_id": ""}, {"export_date": "2021/07/02"}])
+def test_run_is_validated(exports, make_run, change):
+    with pytest.raises(ValueError):
+        make_run(exports(), **change)

@@ -116,7 +116,8 @@ def test_new_files_are_ingested_once(spark, exports, tmp_path):
 
     def go():
         ingest.ingest_files(
-            spark, str(made.root), known, made.manifest, made.key_table, str(tmp_path / "out"), str(tmp_path / "check")
+            spark, str(made.root), known, lambda: made.manifest, lambda: made.key_table,
+            str(tmp_path / "out"), str(tmp_path / "check"),
         ).awaitTermination()
         rows = spark.read.text(str(tmp_path / "out")).where("kind = 'lines'").collect()
         return sorted((r["value"], r["batch_id"]) for r in rows)
