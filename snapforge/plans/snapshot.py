@@ -264,7 +264,13 @@ def run_snapshot(
             except Exception as failure:  # recorded; the other collections go on
                 log.warning("publishing %s failed: %s", collection, failure)
                 note(collection, state.FAILED_PUBLISHING)
-    errors = tables.publish_raw_tables(spark, {table: _location(spark, run, c, False) for table, c in raw.items()})
+    locations = {table: _location(spark, run, collection, False) for table, collection in raw.items()}
+    known = config.join(work.select("collection").distinct(), "collection", "left_semi")
+    tags = {row["collection"]: row["tags"] or {} for row in known.toLocalIterator()}
+    properties = {
+        table: {**tags[collection], "snapshot_type": run.snapshot_type} for table, collection in raw.items() if tags[collection]
+    }
+    errors = tables.publish_raw_tables(spark, locations, properties)
     for table, collection in raw.items():
         if table in errors:
             log.warning("publishing %s failed: %s", collection, errors[table])

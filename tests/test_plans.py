@@ -75,6 +75,9 @@ def test_full_run(spark, exports, make_run):
     assert values(spark, f"{run.database}.core_accounts") == ['{"a":1}']
     assert sorted(r.tableName for r in spark.sql(f"SHOW TABLES IN {run.database}").collect()) == ["core_accounts", "core_contract"]
 
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {run.database}.core_contract").collect()}
+    assert {**TAGS, "snapshot_type": "full"}.items() <= properties.items()
+
     store = run.state_database
     history = spark.table(f"{store}.collection_status").orderBy("seq").where("collection = 'db.core.contract'").collect()
     assert [r["status"] for r in history] == ["Processing", "Publishing", "Completed"]
