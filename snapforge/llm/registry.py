@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from snapforge.llm import decontamination, sharding, url_filter
+from snapforge.llm import (bpe_codec, decontamination, language_id, near_duplicates, sharding, token_counts,
+                           url_filter, warc)
 
-MODULES = (decontamination, sharding, url_filter)
+MODULES = (decontamination, sharding, language_id, token_counts, bpe_codec, warc, near_duplicates,
+           url_filter)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}
