@@ -1,24 +1,62 @@
-"""The training-data pipeline over ``documents``; filled in as its operators are."""
+"""The training-data pipeline over ``documents``.
+
+Each stage works on all rows its predecessor kept and gives rows with the columns of ``documents``; the last one adds
+identifiers. Every stage's result is a table in the shared folder, so a lost executor costs its own tasks only.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from snapforge.llm import decontamination
+from snapforge.llm import bpe_codec, decontamination, language_id, near_duplicates, secret_scan
 from snapforge.llm.common import table, written
 
+VOCABULARY = "word_bpe_49k.json"
+
+
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a language go: null, or without a letter. The model learns from the rows that are not held out."""
+    model = language_id.learn(docs.where(~language_id.is_held_out()))
+    judged = language_id.predict(docs, model)
+    return judged.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of texts that five-word shingles link at 0.8 or more the smallest doc_id stays."""
+    gone = near_duplicates.near_duplicates(docs).where("not kept").select(F.col("id").alias("doc_id")).distinct()
+    return docs.join(written(gone, "gone"), "doc_id", "left_anti").select(*docs.columns)
 
-def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
     return judged.where("not contaminated").select(*docs.columns)
 
 
-STAGES = [("benchmark decontamination", decontaminate)]
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets become a mark, ``n_chars`` follows; the documents stay."""
+    found = secret_scan.redacted(secret_scan.scan(docs, secret_scan.learn(docs)))
+    changed = F.when(F.size("spans") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return found.withColumn("n_chars", changed).select(*docs.columns)
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id``, identifiers, their number, and a digest of what they decode to."""
+    path = public_tokenizers.path(VOCABULARY)
+    rows = bpe_codec.decode(bpe_codec.encode(docs.select("doc_id", "text"), path).drop("text"), path)
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [("language ID", keep_languages), ("MinHash near-dedup", drop_near_duplicates),
+          ("benchmark decontamination", drop_contaminated), ("secret scans", redact_secrets),
+          ("BPE encoding and decoding", encode_tokens)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = written(stage(spark, docs, sf_dir), name.lower().replace(" ", "-"))
     return docs
