@@ -44,7 +44,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, identifiers, their number, and a digest of what they decode to."""
     path = public_tokenizers.path(VOCABULARY)
-    rows = bpe_codec.decode(bpe_codec.encode(docs.select("doc_id", "text"), path).drop("text"), path)
+    rows = bpe_codec.encode(docs.select("doc_id", "text"), path, decoded_col="decoded")
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 

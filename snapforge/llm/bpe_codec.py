@@ -211,19 +211,27 @@ def _token_lists(packed: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32)))
 
 
-def encode(rows: DataFrame, path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
-    """``rows`` with the identifiers of ``text_col`` as an array; the vocabulary at ``path`` is read by the driver."""
+def encode(rows: DataFrame, path: str, text_col: str = "text", out: str = "ids", decoded_col: str | None = None) -> DataFrame:
+    """``rows`` with the identifiers of ``text_col`` as an array; the vocabulary at ``path`` is read by the driver.
+
+    With ``decoded_col`` the identifiers are decoded as well, in the same pass and worker.
+    """
     content = rows.sparkSession.sparkContext.broadcast(read_content(path))
-    kept = rows.drop(out)
+    kept = rows.drop(out, decoded_col or out)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(content.value)
+        encoder, decoder = _encoder(content.value), Decoder(parsed(content.value))
         for batch in batches:
             for piece in slices(batch, text_col):
                 packed = [encoder.encode(t.as_py() or "") for t in piece.column(text_col)]
-                yield pa.RecordBatch.from_arrays([*piece.columns, _token_lists(packed)], [*piece.schema.names, out])
+                columns, names = [*piece.columns, _token_lists(packed)], [*piece.schema.names, out]
+                if decoded_col:
+                    columns.append(pa.array([decoded(p, decoder) for p in packed], pa.string()))
+                    names.append(decoded_col)
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    return kept.mapInArrow(encoded, _plus(kept, out, ArrayType(IntegerType())))
+    schema = _plus(kept, out, ArrayType(IntegerType()))
+    return kept.mapInArrow(encoded, schema.add(decoded_col, StringType()) if decoded_col else schema)
 
 
 def decode(rows: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded", joined: bool = True) -> DataFrame:
@@ -255,8 +263,7 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    return decode(encoded.drop("text"), path).select(
+    return encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, decoded_col="decoded").select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

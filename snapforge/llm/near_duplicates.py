@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
@@ -49,8 +50,10 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_UP = _powers(_BASE, TEXT_CHUNK)
-_DOWN = _powers(np.uint64(pow(int(_BASE), -1, 1 << 64)), TEXT_CHUNK)
+@lru_cache(maxsize=1)
+def _scales() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, made by the workers that hash words."""
+    return _powers(_BASE, TEXT_CHUNK), _powers(np.uint64(pow(int(_BASE), -1, 1 << 64)), TEXT_CHUNK)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -68,8 +71,9 @@ def _chunk_hashes(data: bytes) -> np.ndarray:
     codes = np.frombuffer(data, np.uint8)
     blank = np.concatenate([[True], BLANKS[codes], [True]])
     starts, ends = np.flatnonzero(blank[:-1] & ~blank[1:]), np.flatnonzero(~blank[:-1] & blank[1:])
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[codes] * _UP[:len(codes)])])
-    out = (sums[ends] - sums[starts]) * _DOWN[starts]
+    up, down = _scales()
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[codes] * up[:len(codes)])])
+    out = (sums[ends] - sums[starts]) * down[starts]
     for k in np.flatnonzero(ends - starts > LONG_WORD):
         out[k] = _long_hash(data[starts[k]:ends[k]])
     return out
