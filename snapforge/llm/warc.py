@@ -58,10 +58,11 @@ def records_of(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     html = F.coalesce("html", F.lit(""))
     own = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), html.alias("html"),
                        sha1_base32(html).alias("digest"), F.octet_length(html).cast("long").alias("bytes"))
-    first = own.where(F.col("bytes") >= least_bytes).groupBy("digest", "bytes").agg(
+    # a table of its own: the planner sees how few payloads are repeated and need not move the others to join them
+    first = written(own.where(F.col("bytes") >= least_bytes).groupBy("digest", "bytes").agg(
         F.max("page_id").alias("original"), F.count("*").alias("copies"), F.max(F.struct("page_id", "url")).alias("row"),
     ).where("copies > 1 and original is not null").select(
-        F.col("digest").alias("d"), F.col("bytes").alias("b"), "original", F.col("row.url").alias("original_url"))
+        F.col("digest").alias("d"), F.col("bytes").alias("b"), "original", F.col("row.url").alias("original_url")), "originals")
     marked = own.join(first, (F.col("digest") == F.col("d")) & (F.col("bytes") == F.col("b")), "left").withColumn(
         "again", F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original")))
     uri = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
