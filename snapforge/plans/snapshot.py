@@ -202,7 +202,7 @@ def _publish_dated(spark: SparkSession, run: Run, collection: str, handler: str)
         publish_audit(spark, run.audit, sources.read_lines(spark, location, run.export_date), [run.export_date])
     else:
         tables.create_database(spark, run.equality_table.split(".")[0], run.equality_location)
-        flat = flatten_equality(sources.read_lines(spark, location), F.lit(run.export_date))
+        flat = flatten_equality(sources.read_lines(spark, location), F.lit(run.clock().date()))
         tables.append_equality(flat, run.equality_table)
 
 

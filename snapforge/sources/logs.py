@@ -31,7 +31,7 @@ def processing_times(messages: DataFrame) -> DataFrame:
     """``collection, time_taken`` from the timing messages, slowest first."""
     timed = messages.where(F.col("message").rlike(COLLECTION_TIME)).select(
         F.regexp_extract("message", COLLECTION_TIME, 1).alias("collection"),
-        F.regexp_extract("message", COLLECTION_TIME, 2).cast("long").alias("time_taken"),
+        F.regexp_extract("message", COLLECTION_TIME, 2).try_cast("long").alias("time_taken"),
     )
     return timed.orderBy(F.desc("time_taken"), "collection")
 
@@ -40,5 +40,5 @@ def run_times(messages: DataFrame) -> DataFrame:
     """``logged_at, time_taken`` of whole runs; 0 where the message has no number."""
     found = F.regexp_extract("message", RUN_TIME, 1)
     return messages.where(F.contains("message", F.lit("all collections:"))).select(
-        "logged_at", F.coalesce(F.try_to_number(found, F.lit("9999999999")).cast("long"), F.lit(0)).alias("time_taken")
+        "logged_at", F.coalesce(found.try_cast("long"), F.lit(0)).alias("time_taken")
     )
