@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -20,6 +22,17 @@ SETTINGS = {
 }
 
 _test_folders: dict[str, str] = {}
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per application, wherever the driver was started."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(__file__).resolve().parent.parent
+        target = f"{tempfile.mkdtemp(prefix='snapforge-package-')}/snapforge"
+        context.addPyFile(shutil.make_archive(target, "zip", root, "snapforge"))
+        _shipped.add(context.applicationId)
 
 
 def build_session(app_name: str = "snapforge", master: str | None = None, **extra: str) -> SparkSession:
