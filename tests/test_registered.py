@@ -15,11 +15,15 @@ def duck():
     return oracle.connect(SF_DIR)
 
 
+#: Those of the engine itself; the training-data operators, some without SQL, have tests of their own.
+NAMES = [name for module in registered.MODULES for name in module.QUERIES]
+
+
 def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(NAMES) <= set(registered.queries()) and set(NAMES) <= set(registered.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(registered.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_agrees_with_sql(spark, duck, name):
     assert oracle.difference(spark, duck, name, SF_DIR) is None
 
