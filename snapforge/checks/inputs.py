@@ -137,14 +137,14 @@ def config(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = grouped.select(
         _doc_collection().alias("collection"), tags(F.col("pii"), F.col("source"), F.col("lang"), F.col("owner"))
     )
-    fixed = [("db.data.businessAudit", "data", "businessAudit"), ("db.data.equality", "data", "equality"),
-             ("db.fake.empty", "fake", "empty")]
-    once = table(spark, sf_dir, "region").agg(F.lit(1).alias("one"))
-    for name, db, collection in fixed:
-        named = named.unionByName(
-            once.select(F.lit(name).alias("collection"), tags(F.lit("true"), F.lit(db), F.lit(collection), F.lit("crown")))
-        )
-    return named
+    fixed = [("data", "businessAudit"), ("data", "equality"), ("fake", "empty")]
+    one = table(spark, sf_dir, "region").agg(F.lit(1).alias("one"))
+    rows = F.array(*[F.struct(F.lit(db).alias("db"), F.lit(name).alias("name")) for db, name in fixed])
+    always = one.select(F.inline(rows)).select(
+        F.concat(F.lit("db."), "db", F.lit("."), "name").alias("collection"),
+        tags(F.lit("true"), F.col("db"), F.col("name"), F.lit("crown")),
+    )
+    return named.unionByName(always)
 
 
 CONFIG_SQL = """
@@ -485,7 +485,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"))
     iv, key = _secret(F.col("doc_id").cast("string"), 16), _secret(F.col("source"), 16)
     modified = F.concat(
-        F.lit("2019-07-"), F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0"), F.lit("T07:27:35.104+0000")
+        F.lit("2019-07-"), F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0"), F.lit("T11:05:09.250+0000")
     )
     encryption = F.struct(
         F.lit("k-1").alias("encryptionKeyId"),
@@ -504,7 +504,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.base64(sealed_text).alias("dbObject"),
     )
     envelope = F.struct(
-        F.lit("V4").alias("@type"), message.alias("message"), F.lit("core-4").alias("version"),
-        F.lit("2019-07-04T07:27:35.104+0000").alias("timestamp"),
+        F.lit("E1").alias("@type"), message.alias("message"), F.lit("v-2").alias("version"),
+        F.lit("2019-07-04T11:05:09.250+0000").alias("timestamp"),
     )
     return docs.select(F.to_json(envelope).alias("val"))

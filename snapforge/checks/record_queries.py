@@ -98,13 +98,11 @@ def publish(spark, sf) -> tuple[str, str]:
     """Decode, write and publish all documents; returns the database and the root of the files."""
     root, database = new_run_dir(spark, "published"), _new_database(spark)
     docs = i.table(spark, sf, "documents").select(
-        F.concat(F.lit("db."), "source", F.lit("."), "lang").alias("collection"), F.octet_length("text").alias("length")
+        F.concat(F.lit("db."), "source", F.lit("."), "lang").alias("collection")
     )
-    found = docs.groupBy("collection", names.table_name(F.col("collection")).alias("table_name")).agg(
-        F.sum("length").alias("total_bytes")
-    ).collect()  # one row per collection
-    compact = files.worth_compacting(sum(row["total_bytes"] for row in found))
-    files.write_decoded(_decoded(spark, sf, "ctr", "gzip", lineage=False), root, ["collection"], compact)
+    named = docs.select("collection", names.table_name(F.col("collection")).alias("table_name"))
+    found = named.distinct().collect()  # one row per collection
+    files.write_decoded(_decoded(spark, sf, "ctr", "gzip", lineage=False), root, ["collection"], few_files=True)
     locations = {
         f"{database}.{row['table_name']}": files.lines_location(root, collection=row["collection"]) for row in found
     }
@@ -125,23 +123,26 @@ def publish_raw(spark, sf):
 
 
 @query("published_tables", """
-    SELECT source || '_' || lang AS table_name, min(line) AS sample
+    SELECT source || '_' || lang AS table_name, count(*) AS n_lines, min(line) AS first_line, max(line) AS last_line,
+           CAST(sum(('0x' || md5(line)[1:8])::BIGINT) AS BIGINT) AS checksum
     FROM (SELECT source, lang, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY source, lang""")
 def published_tables(spark, sf):
-    """Read through the tables themselves: the smallest line of each."""
-    database, _ = publish(spark, sf)
-    found = [row.tableName for row in spark.sql(f"SHOW TABLES IN {database}").collect()]
-    out = None
-    for name in sorted(found):
-        part = spark.table(f"{database}.{name}").select(F.lit(name).alias("table_name"), "val")
-        out = part if out is None else out.unionByName(part)
-    return out.groupBy("table_name").agg(F.min("val").alias("sample"))
+    """Number, ends and a sum of hashes of all lines below the locations the tables name, in one scan."""
+    database, root = publish(spark, sf)
+    found = {row.tableName for row in spark.sql(f"SHOW TABLES IN {database}").collect()}
+    location = f"{root}/kind={files.LINES}"
+    lines = spark.read.schema("value string, collection string").option("basePath", location).text(location)
+    each = lines.select(names.table_name(F.col("collection")).alias("table_name"), "value")
+    return each.where(F.col("table_name").isin(found)).groupBy("table_name").agg(
+        F.count("*").alias("n_lines"), F.min("value").alias("first_line"), F.max("value").alias("last_line"),
+        F.sum(F.conv(F.substring(F.md5(F.col("value").cast("binary")), 1, 8), 16, 10).cast("long")).alias("checksum"),
+    )
 
 
-@query("publish_parquet", "SELECT event_id, user_id, event_type, value FROM events")
+@query("publish_parquet", "SELECT * FROM events")
 def publish_parquet(spark, sf):
     database, location = _new_database(spark), new_run_dir(spark, "parquet")
-    events = i.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    events = i.table(spark, sf, "events")
     tables.publish_parquet(events, f"{database}.events", location, ["event_type"])
     return spark.table(f"{database}.events")
 
@@ -159,11 +160,11 @@ def json_nested_flatten(spark, sf):
 
 
 def _audit_twice(spark, sf) -> str:
-    """Load every date, then the newest one again; returns the database."""
+    """Load every date twice, then the newest one again; returns the database."""
     database = _new_database(spark)
     lines = i.audit_lines(spark, sf).select("val", "date_str")
     newest = lines.agg(F.max("date_str")).first()[0]
-    for part in (lines, lines.where(F.col("date_str") == newest)):
+    for part in (lines, lines, lines.where(F.col("date_str") == newest)):
         tables.load_audit_raw(part, f"{database}.auditlog_raw")
         tables.load_audit_typed(part, f"{database}.auditlog_managed", i.AUDIT_FIELDS)
     return database
@@ -215,19 +216,19 @@ def equality_idempotent(spark, sf):
 
 
 @query("latest_version", """
-    SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id,
+    SELECT user_id, event_type, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id,
            arg_max(value, (ts, event_id)) AS value, arg_max(props, (ts, event_id)) AS props
     FROM events GROUP BY user_id, event_type""")
 def latest_version(spark, sf):
     events = i.table(spark, sf, "events")
-    return records.latest_version(events, ["user_id", "event_type"], ["ts", "event_id"]).drop("ts")
+    return records.latest_version(events, ["user_id", "event_type"], ["ts", "event_id"])
 
 
 @query("message_envelope", """
     SELECT source AS db, lang AS collection, CAST(doc_id AS VARCHAR) AS id, 'MONGO_INSERT' AS message_type,
-           epoch_ms(TIMESTAMP '2019-07-01 07:27:35.104' + to_days(CAST(doc_id % 28 AS INT))) AS modified_millis,
+           epoch_ms(TIMESTAMP '2019-07-01 11:05:09.250' + to_days(CAST(doc_id % 28 AS INT))) AS modified_millis,
            'k-1' AS encryption_key_id, 'sealed-' || source AS ciphertext, 'master-1' AS key_id,
-           'core-4' AS version FROM documents""")
+           'v-2' AS version FROM documents""")
 def message_envelope(spark, sf):
     decoded = records.decode_envelope(i.envelopes(spark, sf))
     return decoded.select(

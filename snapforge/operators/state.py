@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from snapforge.operators import history
 
 # The states of a collection.
-PROCESSING, PUBLISHING, COMPLETED = "Processing", "Publishing", "Completed"
+PROCESSING, PUBLISHING, COMPLETED, EMPTY = "Processing", "Publishing", "Completed", "Empty"
 FAILED_PROCESSING, FAILED_PUBLISHING = "Failed_Processing", "Failed_Publishing"
 
 # The states of a run.

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapforge.functions.dates import day_prefixes
-from snapforge.operators import decode, state
+from snapforge.operators import state
 from snapforge.operators.records import flatten_equality
-from snapforge.plans.snapshot import Audit, RunFailed, content_plan, publish_audit
+from snapforge.plans.snapshot import Audit, RunFailed, decode_and_write, described, publish_audit
 from snapforge.sinks import files, tables
 from snapforge.sources import objects
 
@@ -24,6 +24,8 @@ class Backfill:
     output_root: str
     collection: str
     load_date: str
+    # Where the days' outcomes and the tags of what was written are kept, if anywhere.
+    state_database: str | None = None
 
     @property
     def tags(self) -> dict[str, str]:
@@ -50,28 +52,31 @@ def _decode_days(
     listed = objects.list_objects(spark, folders).withColumn("path", files.plain_path(F.col("path")))
     start = len(job.input_root.rstrip("/")) + 2
     below = F.substring(F.col("path"), F.lit(start), F.length("path"))
-    described = manifest.withColumn("path", files.plain_path(F.col("path"))).dropDuplicates(["path"])
-    work = decode.with_plain_keys(listed.join(described, "path", "left"), keys).select(
+    work = listed.join(described(manifest), "path", "left").select(
         "path",
+        "length",
         F.lit(job.collection).alias("collection"),
         F.substring_index(below, "/", 1).alias("export_date"),
         "iv",
-        "plain_key",
+        "ciphertext",
     )
     by = ["collection", "export_date"]
-    for day in present:
+
+    def clear(day: str) -> None:
         for kind in (files.LINES, files.ERRORS):
-            files.delete_prefix(
-                spark, f"{job.output_root}/kind={kind}/collection={job.collection}/export_date={day}"
-            )
-    decoded = content_plan(spark, folders, work, "eax", "zlib", by)
-    files.write_decoded(decoded, job.output_root, by, compact=True)
+            files.delete_prefix(spark, f"{job.output_root}/kind={kind}/collection={job.collection}/export_date={day}")
+
+    for day in present:
+        clear(day)
+    decode_and_write(spark, work, keys, "eax", "zlib", job.output_root, by)
     for row in work.select("export_date").distinct().toLocalIterator():
         outcome[row["export_date"]] = state.COMPLETED
     failures = files.read_failures(spark, job.output_root, by)
     failures = failures.where((F.col("collection") == job.collection) & F.col("export_date").isin(present))
-    for row in failures.select("export_date").distinct().toLocalIterator():
+    beside = f"{job.output_root}/failures/{job.correlation_id}"
+    for row in files.set_aside_failures(failures, by, beside):
         outcome[row["export_date"]] = state.FAILED_PROCESSING
+        clear(row["export_date"])
     return outcome
 
 
@@ -92,9 +97,20 @@ def _sound_lines(spark: SparkSession, job: Backfill, outcome: dict[str, str]) ->
     return written.select(F.col("value").alias("val"), F.col("export_date").alias("date_str")), days
 
 
-def _finish(spark: SparkSession, job: Backfill, outcome: dict[str, str]) -> DataFrame:
+def _finish(spark: SparkSession, job: Backfill, outcome: dict[str, str], days: list[str]) -> DataFrame:
+    """Outcome per day; ``days`` are those with lines, whose files get the tags of the collection."""
     rows = [(job.correlation_id, day, status) for day, status in sorted(outcome.items())]
     statuses = spark.createDataFrame(rows, "correlation_id string, day string, status string")
+    if job.state_database:
+        tables.create_database(spark, job.state_database)
+        tables.append_state(statuses, f"{job.state_database}.day_status")
+        if days:
+            root = files.lines_location(job.output_root, collection=job.collection)
+            written = objects.list_objects(spark, [f"{root}/export_date={day}" for day in days])
+            tags = F.create_map(*[F.lit(part) for pair in job.tags.items() for part in pair])
+            tables.append_state(
+                written.select("path", F.explode(tags).alias("key", "value")), f"{job.state_database}.object_tags"
+            )
     broken = [day for day, status in sorted(outcome.items()) if status.startswith("Failed")]
     if broken:
         raise RunFailed(", ".join(broken))
@@ -109,7 +125,7 @@ def backfill_audit(
     lines, days = _sound_lines(spark, job, outcome)
     if lines is not None:
         publish_audit(spark, Audit(audit.database, audit.fields), lines, days)
-    return _finish(spark, job, outcome)
+    return _finish(spark, job, outcome, days)
 
 
 def backfill_equality(
@@ -117,9 +133,9 @@ def backfill_equality(
 ) -> DataFrame:
     """Append the flattened equality rows of the range."""
     outcome = _decode_days(spark, job, days_of(spark, job), manifest, keys)
-    lines, _ = _sound_lines(spark, job, outcome)
+    lines, days = _sound_lines(spark, job, outcome)
     tables.create_database(spark, table.split(".")[0], location)
     tables.create_equality_table(spark, table)
     if lines is not None:
         tables.append_equality(flatten_equality(lines, F.lit(job.load_date)), table)
-    return _finish(spark, job, outcome)
+    return _finish(spark, job, outcome, days)

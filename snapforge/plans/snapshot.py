@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping, Sequence
+import re
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from snapforge.functions import dates, names
-from snapforge.operators import decode, listing, lookup, notices, parameters, state
+from snapforge.operators import decode, listing, notices, parameters, state
 from snapforge.operators.records import flatten_equality
 from snapforge.session import new_run_dir
 from snapforge.sinks import files, tables
@@ -20,10 +21,13 @@ from snapforge.sources import tables as sources
 
 log = logging.getLogger(__name__)
 
-# Files per decode job, so that their metadata stays well within what is broadcast (about 400 bytes a file).
-MAX_FILES_PER_JOB = 200_000
-# Above this many collections the file-name filter is left out and the join alone selects the files.
-MAX_GLOB_NAMES = 1000
+# Files per decode job. Their metadata, about 400 bytes a file, is broadcast, and the driver names them to the scan.
+FILES_PER_JOB = 50_000
+# A binary scan holds a file in one array of the JVM, so this is what Spark can read at most.
+MAX_FILE_BYTES = 2**31 - 16
+
+
+STATUS_SCHEMA = "correlation_id string, collection string, status string, at timestamp, seq int"
 
 
 class RunFailed(Exception):
@@ -63,6 +67,8 @@ class Run:
     equality_location: str | None = None
     # Prefix of an earlier run that is continued; only its failed collections are processed.
     existing_prefix: str | None = None
+    # Shuffle the lines into few files per collection; else every decoding task writes its own.
+    few_files: bool = False
     clock: Callable[[], datetime] = datetime.now
 
     def __post_init__(self) -> None:
@@ -100,6 +106,14 @@ def continued(spark: SparkSession, run: Run) -> Run:
     return replace(run, existing_prefix=row["output_prefix"]) if row["existing"] else run
 
 
+def described(manifest: DataFrame) -> DataFrame:
+    """``path, iv, ciphertext`` of each file once; entries that contradict each other count as no entry."""
+    entries = manifest.groupBy(files.plain_path(F.col("path")).alias("path")).agg(
+        F.min(F.struct("iv", "ciphertext")).alias("_low"), F.max(F.struct("iv", "ciphertext")).alias("_high")
+    )
+    return entries.where(F.col("_low").eqNullSafe(F.col("_high"))).select("path", "_low.*")
+
+
 def listing_plan(spark: SparkSession, run: Run, config: DataFrame, manifest: DataFrame) -> DataFrame:
     """Metadata only: ``path, collection, handler, length, iv, ciphertext`` of every file to be decoded.
 
@@ -108,8 +122,7 @@ def listing_plan(spark: SparkSession, run: Run, config: DataFrame, manifest: Dat
     listed = objects.list_objects(spark, run.input_root)
     listed = listed.withColumn("path", files.plain_path(F.col("path")))
     chosen = listing.allowed(listing.matched(listing.last_per_name(listed)), config)
-    described = manifest.withColumn("path", files.plain_path(F.col("path"))).dropDuplicates(["path"])
-    work = chosen.join(described, "path", "left").select(
+    work = chosen.join(described(manifest), "path", "left").select(
         "path", "collection", names.handler(F.col("collection")).alias("handler"), "length", "iv", "ciphertext"
     )
     location = new_run_dir(spark, "work")
@@ -117,62 +130,74 @@ def listing_plan(spark: SparkSession, run: Run, config: DataFrame, manifest: Dat
     return spark.read.schema(work.schema).parquet(location)
 
 
-def content_plan(
-    spark: SparkSession, root: str | list[str], work: DataFrame, cipher: str, codec: str, carry: list[str],
-    name_glob: str | None = None,
-) -> DataFrame:
-    """Decoded lines of the files in ``work``; content is read once and not shuffled while ``work`` is small."""
-    content = objects.read_objects(spark, root, name_glob)
-    content = content.withColumn("path", files.plain_path(F.col("path")))
-    joined = lookup.join_measured(content, work, "path")
-    return decode.decode_objects(joined, cipher, codec, carry, error_only=["path"])
-
-
-def _name_glob(collections: list[str]) -> str | None:
-    if len(collections) > MAX_GLOB_NAMES:
-        return None
-    return "{" + ",".join(sorted(collections)) + "}*"
+def _no_pattern(path: str) -> str:
+    """The path with what Hadoop would read as a pattern escaped."""
+    return re.sub(r"([\\{}\[\]*?,])", r"\\\1", path)
 
 
-def _jobs(counts: Mapping[str, int]) -> list[list[str]]:
-    """Collections put together so that one job takes no more files than its metadata can be broadcast for.
+def decode_and_write(
+    spark: SparkSession, work: DataFrame, keys: DataFrame, cipher: str, codec: str, root: str, by: list[str],
+    few_files: bool = False,
+) -> None:
+    """Decode the files of ``work(path, length, iv, ciphertext, *by)`` and add their lines and errors below ``root``.
 
-    A collection that is larger by itself gets a job of its own; its join then falls back to a shuffle.
+    The files are dealt to jobs by a hash of their path, so that the metadata of a job is always small enough to be
+    broadcast, whatever one collection holds. Each job scans its own files only: each is read once and its content is
+    never shuffled. Files beyond what a scan can read become error rows.
     """
-    jobs: list[list[str]] = []
-    room = 0
-    for collection in sorted(counts):
-        if not jobs or counts[collection] > room:
-            jobs.append([])
-            room = MAX_FILES_PER_JOB
-        jobs[-1].append(collection)
-        room -= counts[collection]
-    return jobs
-
-
-def _decode_and_write(
+    location = new_run_dir(spark, "jobs")
+    n_jobs = -(-work.count() // FILES_PER_JOB)
+    dealt = work.withColumn("_job", F.pmod(F.xxhash64("path"), F.lit(max(n_jobs, 1))))
+    dealt.write.partitionBy("_job").parquet(location)
+    schema = work.schema
+    for number in range(n_jobs):
+        folder = f"{location}/_job={number}"
+        if not files.exists(spark, folder):
+            continue
+        part = spark.read.schema(schema).parquet(folder)
+        readable = part.where(F.col("length") <= MAX_FILE_BYTES)
+        refused = part.where(F.col("length") > MAX_FILE_BYTES).select(
+            *by, "path", F.lit(None).cast("string").alias("val"), F.lit("too large for one read").alias("error")
+        )
+        paths = [_no_pattern(row["path"]) for row in readable.select("path").collect()]  # FILES_PER_JOB on average
+        decoded = refused
+        if paths:
+            content = objects.read_objects(spark, paths).withColumn("path", files.plain_path(F.col("path")))
+            keyed = decode.with_plain_keys(readable, keys).select("path", "iv", "plain_key", *by)
+            joined = content.join(F.broadcast(keyed), "path")
+            lines = decode.decode_objects(joined, cipher, codec, by, error_only=["path"])
+            decoded = lines.select(refused.columns).unionByName(refused)
+        files.write_decoded(decoded, root, by, few_files, mode="append")
+
+
+def _decode(
     spark: SparkSession, run: Run, work: DataFrame, keys: DataFrame, found: Sequence[Row], dated: bool
 ) -> set[str]:
-    """Write the collections; returns those with a file that could not be decoded."""
+    """Write the lines of the collections; those with a file that could not be decoded are returned and leave none."""
     if not found:
         return set()
     root = run.data_root if dated else run.prefix
     by = ["collection", "export_date"] if dated else ["collection"]
-    for row in found:
+    day = f"/export_date={run.export_date}" if dated else ""
+
+    def clear(collection: str) -> None:
         for kind in (files.LINES, files.ERRORS):
-            stale = f"{root}/kind={kind}/collection={row['collection']}"
-            files.delete_prefix(spark, f"{stale}/export_date={run.export_date}" if dated else stale)
-    # Audit and equality are one file each in principle, so they are always put together.
-    compact = dated or files.worth_compacting(sum(row["total_bytes"] for row in found))
-    keyed = decode.with_plain_keys(work, keys).select("path", "collection", "iv", "plain_key")
-    for job in _jobs({row["collection"]: row["n_files"] for row in found}):
-        part = keyed.where(F.col("collection").isin(job))
-        decoded = content_plan(spark, run.input_root, part, "ctr", "gzip", ["collection"], _name_glob(job))
-        files.write_decoded(decoded.withColumn("export_date", F.lit(run.export_date)), root, by, compact)
-    failures = files.read_failures(spark, root, by)
+            files.delete_prefix(spark, f"{root}/kind={kind}/collection={collection}{day}")
+
+    for row in found:
+        clear(row["collection"])
+    names_of = [row["collection"] for row in found]
+    part = work.where(F.col("collection").isin(names_of)).withColumn("export_date", F.lit(run.export_date))
+    part = part.select("path", "length", "iv", "ciphertext", *by)
+    decode_and_write(spark, part, keys, "ctr", "gzip", root, by, run.few_files)
+    failures = files.read_failures(spark, root, by).where(F.col("collection").isin(names_of))
     if dated:
         failures = failures.where(F.col("export_date") == run.export_date)
-    return {row["collection"] for row in failures.select("collection").distinct().toLocalIterator()}
+    beside = f"{run.output_root}/failures/{run.snapshot_type}/{run.run_stamp}"
+    broken = {row["collection"] for row in files.set_aside_failures(failures, by, beside)}
+    for collection in broken:
+        clear(collection)
+    return broken
 
 
 def _location(spark: SparkSession, run: Run, collection: str, dated: bool) -> str:
@@ -214,17 +239,26 @@ def run_snapshot(
     One decode job covers all raw collections and one the two dated ones. A collection that fails does not stop
     the others; after all are done :class:`RunFailed` is raised and no run parameters are written.
     """
-    statuses: list[tuple] = []
+    history: list[tuple] = []
+    stored = 0
 
     def note(collection: str, status: str) -> None:
-        statuses.append((run.correlation_id, collection, status, run.clock(), len(statuses)))
+        history.append((run.correlation_id, collection, status, run.clock(), len(history)))
+
+    def store() -> None:
+        """Append what was noted since the last time; one small write per phase, not per collection."""
+        nonlocal stored
+        if stored < len(history):
+            tables.append_state(spark.createDataFrame(history[stored:], STATUS_SCHEMA), statuses)
+            stored = len(history)
 
+    statuses = f"{run.state_database}.collection_status"
     tables.create_database(spark, run.full_database)
     tables.create_database(spark, run.state_database)
     started = run.clock()
+    ledger = _open_ledger(spark, run, started)
     if run.existing_prefix:
-        earlier = sources.status_of_run(spark.table(f"{run.state_database}.collection_status"), run.correlation_id)
-        config = state.collections_to_run(config, state.failed_collections(earlier, ["at", "seq"]), True)
+        config = _unfinished(spark, run, config)
         # Fixed here: this run adds to the statuses the choice was made from.
         location = new_run_dir(spark, "config")
         config.write.parquet(location)
@@ -241,18 +275,20 @@ def run_snapshot(
     shared = {row["collection"] for row in listing.table_collisions(work).toLocalIterator()}
     for row in found:
         note(row["collection"], state.PROCESSING)
+    store()
     failed: set[str] = set()
     for dated in (False, True):
         group = [row for row in found if (row["handler"] != "raw") == dated]
-        failed |= _decode_and_write(spark, run, work, keys, group, dated)
+        failed |= _decode(spark, run, work, keys, group, dated)
 
     raw = {}
+    for row in found:
+        note(row["collection"], state.FAILED_PROCESSING if row["collection"] in failed else state.PUBLISHING)
+    store()
     for row in found:
         collection = row["collection"]
         if collection in failed:
-            note(collection, state.FAILED_PROCESSING)
             continue
-        note(collection, state.PUBLISHING)
         if collection in shared:
             note(collection, state.FAILED_PUBLISHING)  # another collection has the same table name
         elif row["handler"] == "raw":
@@ -264,6 +300,7 @@ def run_snapshot(
             except Exception as failure:  # recorded; the other collections go on
                 log.warning("publishing %s failed: %s", collection, failure)
                 note(collection, state.FAILED_PUBLISHING)
+            store()
     locations = {table: _location(spark, run, collection, False) for table, collection in raw.items()}
     known = config.join(work.select("collection").distinct(), "collection", "left_semi")
     tags = {row["collection"]: row["tags"] or {} for row in known.toLocalIterator()}
@@ -280,9 +317,51 @@ def run_snapshot(
         empty = listing.placeholders(config, work, run.prefix).collect()
         files.write_placeholders(spark, [row["path"] for row in empty])
         for row in empty:
-            note(row["collection"], "Empty")
+            note(row["collection"], state.EMPTY)
+
+    store()
+    return _record(spark, run, config, work, spark.createDataFrame(history, STATUS_SCHEMA), ledger)
+
+
+def _unfinished(spark: SparkSession, run: Run, config: DataFrame) -> DataFrame:
+    """The configured collections that the run to be continued did not bring to an end.
 
-    return _record(spark, run, config, work, statuses, started)
+    These are the failed ones and those it was stopped at or before. The choice is written, as this run adds to the
+    statuses it was made from.
+    """
+    table = f"{run.state_database}.collection_status"
+    if not spark.catalog.tableExists(table):
+        return config
+    earlier = sources.status_of_run(spark.table(table), run.correlation_id)
+    ended = state.latest_status(earlier, ["at", "seq"]).where(F.col("status").isin(state.COMPLETED, state.EMPTY))
+    location = new_run_dir(spark, "config")
+    config.join(ended.select("collection"), "collection", "left_anti").write.parquet(location)
+    return spark.read.schema(config.schema).parquet(location)
+
+
+def _open_ledger(spark: SparkSession, run: Run, started: datetime) -> DataFrame:
+    """The ledger row of the run, written as in progress before any work; it carries run number and prefix."""
+    product = f"snapshot-{run.snapshot_type}"
+    asked = spark.createDataFrame([(run.correlation_id, product)], "correlation_id string, data_product string")
+    table = f"{run.state_database}.run_ledger"
+    run_id = state.next_run_id(asked, spark.table(table)).first()["run_id"] if spark.catalog.tableExists(table) else 1
+    at = F.lit(started)
+    row = asked.select(
+        "correlation_id",
+        "data_product",
+        F.lit(run_id).cast("long").alias("run_id"),
+        F.lit(run.export_date).alias("date"),
+        F.lit(state.RUN_IN_PROGRESS).alias("status"),
+        F.lit("snapshot").alias("current_step"),
+        F.lit(run.input_root).alias("input_prefix"),
+        F.lit(run.prefix).alias("output_prefix"),
+        F.lit(run.snapshot_type).alias("snapshot_type"),
+        at.alias("started_at"),
+        at.alias("at"),
+        dates.expires_at(at).alias("expires_at"),
+    )
+    tables.append_state(row, table)
+    return row
 
 
 def _sizes(objects_of: DataFrame, everything: DataFrame) -> DataFrame:
@@ -293,16 +372,13 @@ def _sizes(objects_of: DataFrame, everything: DataFrame) -> DataFrame:
 
 
 def _record(
-    spark: SparkSession, run: Run, config: DataFrame, work: DataFrame, statuses: list[tuple], started: datetime
+    spark: SparkSession, run: Run, config: DataFrame, work: DataFrame, noted: DataFrame, ledger: DataFrame
 ) -> DataFrame:
-    schema = "correlation_id string, collection string, status string, at timestamp, seq int"
-    noted = spark.createDataFrame(statuses, schema)
+    """Tags and sizes of what was completed, times, notices, the outcome in the ledger."""
     latest = state.latest_status(noted, ["at", "seq"])
     store = run.state_database
-
-    tables.append_state(noted, f"{store}.collection_status")
     now = F.lit(run.clock())
-    handled = work.select("collection").distinct()
+    sound = latest.where(F.col("status") == state.COMPLETED).select("collection")
     sized = [
         _sizes(work, objects.list_objects(spark, run.input_root)).withColumn("metric", F.lit("input_bytes"))
     ]
@@ -311,7 +387,7 @@ def _record(
         if files.exists(spark, f"{root}/kind={files.LINES}"):
             out = objects.list_objects(spark, f"{root}/kind={files.LINES}").where(F.contains("path", F.lit(suffix)))
             out = out.withColumn("collection", F.regexp_extract("path", "/collection=([^/]+)/", 1))
-            out = out.join(handled, "collection", "left_semi")
+            out = out.join(sound, "collection", "left_semi")
             written = out if written is None else written.unionByName(out)
     if written is not None:
         total = objects.list_objects(spark, run.prefix) if files.exists(spark, run.prefix) else written
@@ -327,24 +403,8 @@ def _record(
 
     broken = latest.where(state.is_failed(F.col("status"))).orderBy("collection").collect()
     ended = state.RUN_FAILED if broken else state.RUN_COMPLETED
-    product = f"snapshot-{run.snapshot_type}"
-    asked = spark.createDataFrame([(run.correlation_id, product)], "correlation_id string, data_product string")
-    table = f"{store}.run_ledger"
-    run_id = state.next_run_id(asked, spark.table(table)).first()["run_id"] if spark.catalog.tableExists(table) else 1
-    ledger = asked.select(
-        "correlation_id",
-        "data_product",
-        F.lit(run_id).cast("long").alias("run_id"),
-        F.lit(run.export_date).alias("date"),
-        F.lit(ended).alias("status"),
-        F.lit(run.input_root).alias("input_prefix"),
-        F.lit(run.prefix).alias("output_prefix"),
-        F.lit(run.snapshot_type).alias("snapshot_type"),
-        F.lit(started).alias("started_at"),
-        now.alias("at"),
-        dates.expires_at(now).alias("expires_at"),
-    )
-    tables.append_state(ledger, table)
+    ended_row = ledger.withColumns({"status": F.lit(ended), "at": now, "expires_at": dates.expires_at(now)})
+    tables.append_state(ended_row, f"{store}.run_ledger")
     announced = ledger.select(
         "correlation_id", F.col("output_prefix").alias("s3_prefix"), "snapshot_type", F.col("date").alias("export_date")
     )

@@ -167,7 +167,7 @@ def cmac(encrypt, message: bytes) -> bytes:
     return encrypt(xor(xor(state, last), subkey))
 
 
-@pytest.mark.parametrize("size", [1, 15, 16, 17, 31, 32, 33, 48, 50, 64])
+@pytest.mark.parametrize("size", [1, 15, 16, 17, 33, 48, 50, 64, 65, 1000])
 def test_eax_nonce_lengths(spark, size):
     key, nonce = bytes(range(16)), bytes((7 * i + 200) % 256 for i in range(size))
 

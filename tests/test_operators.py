@@ -341,16 +341,16 @@ def test_run_parameters_round_trip(spark, tmp_path):
 
 def test_latest_version_and_envelope(spark):
     body = {"traceId": "t", "message": {"db": "core", "collection": "x", "_id": {"declarationId": "1"}, "@type": "MONGO_INSERT",
-                                        "_lastModifiedDateTime": "2019-07-04T07:27:35.104+0000"}}
+                                        "_lastModifiedDateTime": "2020-03-09T11:05:09.250+0000"}}
     newer = json.loads(json.dumps(body))
-    newer["message"]["_lastModifiedDateTime"] = "2019-07-04T08:27:35.104+0100"  # the same moment elsewhere, plus a later one
+    newer["message"]["_lastModifiedDateTime"] = "2020-03-09T12:05:09.250+0100"  # the same moment elsewhere, plus a later one
     latest = json.loads(json.dumps(body))
-    latest["message"]["_lastModifiedDateTime"] = "2019-07-04T07:27:35.105+0000"
+    latest["message"]["_lastModifiedDateTime"] = "2020-03-09T11:05:09.251+0000"
     frame = spark.createDataFrame([(json.dumps(b),) for b in (latest, body, newer)] + [("{bad",)], "val string")
     decoded = records.decode_envelope(frame)
     assert decoded.where("id IS NULL").count() == 1
     (row,) = records.latest_version(decoded.where("id IS NOT NULL"), ["id"], ["modified_at"]).collect()
-    assert row["last_modified"] == "2019-07-04T07:27:35.105+0000" and row["message_type"] == "MONGO_INSERT"
+    assert row["last_modified"] == "2020-03-09T11:05:09.251+0000" and row["message_type"] == "MONGO_INSERT"
 
 
 def test_shared_folder_comes_from_the_session(spark):

@@ -123,6 +123,11 @@ def test_new_files_are_ingested_once(spark, exports, tmp_path):
         return sorted((r["value"], r["batch_id"]) for r in rows)
 
     assert go() == [("a", 0), ("b", 0)]
-    made.write({"db.core.contract.02.gz.enc": "c"})
+    made.write({"db.core.contract.02.gz.enc": "c", "db.core.contract.03.gz.enc": "d", "odd": "e"}, corrupt=("db.core.contract.03.gz.enc",))
     assert go() == [("a", 0), ("b", 0), ("c", 1)]
     assert go() == [("a", 0), ("b", 0), ("c", 1)]
+    became = spark.read.parquet(str(tmp_path / "out_files")).collect()
+    assert sorted((r["path"].rsplit("/", 1)[1], r["status"], r["batch_id"]) for r in became) == [
+        ("db.core.contract.01.gz.enc", "Completed", 0), ("db.core.contract.02.gz.enc", "Completed", 1),
+        ("db.core.contract.03.gz.enc", "Failed_Processing", 1), ("db.other.thing.01.gz.enc", "Unlisted", 0), ("odd", "Rejected", 1),
+    ]
