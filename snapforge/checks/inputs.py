@@ -22,12 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for work on content where the input comes in fewer pieces than that."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 # --- object listing ----------------------------------------------------------------------------------------
 
 def _export_name(collection: Column, number: Column) -> Column:
@@ -171,30 +165,41 @@ def _zlib(data: pa.Array) -> pa.Array:
     return pa.array([zlib.compress(d.as_buffer(), 1) for d in data], pa.binary())
 
 
-def _secret(seed: Column, key_bytes: int) -> Column:
+def secret(seed: Column, key_bytes: int) -> Column:
     return F.substring(F.unhex(F.sha2(seed, 256)), 1, key_bytes)
 
 
-def objects(spark: SparkSession, sf_dir: str, cipher: str, codec: str) -> DataFrame:
-    """``collection, path, content, iv, ciphertext, key_id, doc_id``: one export object per document.
+KEY_BYTES = {"ctr": 16, "eax": 32}
 
-    The file text is the document and one newline; every source has a data key of its own. Both ciphers are
-    their own inverse, so the key stream that decrypts also encrypts.
+
+def sealed(texts: DataFrame, cipher: str, codec: str) -> DataFrame:
+    """``texts(name, owner, text, ...)`` with ``content``: the text and one newline, packed and encrypted.
+
+    Every owner has a data key of its own, the vector follows from the name. Both ciphers are their own inverse, so
+    the key stream that decrypts also encrypts.
     """
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"))
-    keyed = docs.withColumns(
-        {
-            "key": _secret(F.col("source"), 16 if cipher == "ctr" else 32),
-            "nonce": _secret(F.col("doc_id").cast("string"), 16),
-        }
+    keyed = texts.withColumns(
+        {"_key": secret(F.col("owner"), KEY_BYTES[cipher]), "_nonce": secret(F.col("name"), 16)}
     )
     packed = (_gzip if codec == "gzip" else _zlib)(F.encode(F.concat("text", F.lit("\n")), "UTF-8"))
-    return crypto.with_start(keyed, cipher, "nonce", "key").select(
-        _doc_collection().alias("collection"),
-        F.concat(F.lit(PREFIX), _export_name(_doc_collection(), F.col("doc_id"))).alias("path"),
-        crypto.ctr_transform(packed, F.col("key"), F.col("start")).alias("content"),
-        F.base64("nonce").alias("iv"),
-        F.concat(F.lit("sealed-"), F.col("source")).alias("ciphertext"),
+    started = crypto.with_start(keyed, cipher, "_nonce", "_key", "_start")
+    content = crypto.ctr_transform(packed, F.col("_key"), F.col("_start"))
+    return started.withColumn("content", content).drop("_key", "_nonce", "_start")
+
+
+def objects(spark: SparkSession, sf_dir: str, cipher: str, codec: str) -> DataFrame:
+    """``collection, path, content, iv, ciphertext, key_id, doc_id``: one export object per document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    named = docs.select(
+        _export_name(_doc_collection(), F.col("doc_id")).alias("name"), F.col("source").alias("owner"), "text",
+        _doc_collection().alias("collection"), "doc_id",
+    )
+    return sealed(named, cipher, codec).select(
+        "collection",
+        F.concat(F.lit(PREFIX), "name").alias("path"),
+        "content",
+        F.base64(secret(F.col("name"), 16)).alias("iv"),
+        F.concat(F.lit("sealed-"), "owner").alias("ciphertext"),
         F.lit("master-1").alias("key_id"),
         "doc_id",
     )
@@ -205,7 +210,7 @@ def key_table(spark: SparkSession, sf_dir: str, cipher: str) -> DataFrame:
     sources = table(spark, sf_dir, "documents").select("source").distinct()
     return sources.select(
         F.concat(F.lit("sealed-"), F.col("source")).alias("ciphertext"),
-        F.base64(_secret(F.col("source"), 16 if cipher == "ctr" else 32)).alias("plain_key"),
+        F.base64(secret(F.col("source"), KEY_BYTES[cipher])).alias("plain_key"),
     )
 
 
@@ -217,7 +222,7 @@ AUDIT_FIELDS = {"event_id": "event_id", "event_type": "event_type", "userid": "u
 def audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, val, date_str``: events as JSON; those of type error are cut short, those of type click have
     keys in capitals."""
-    events = spread(table(spark, sf_dir, "events"))
+    events = table(spark, sf_dir, "events")
     line = F.format_string(
         '{"event_id":%d,"event_type":"%s","userId":"%d","props":%s}', "event_id", "event_type", "user_id", "props"
     )
@@ -418,7 +423,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "click", "WARNING").otherwise("INFO"), F.lit('", "message": "'), message,
         F.lit('" }'),
     )
-    return spread(table(spark, sf_dir, "events")).select(
+    return table(spark, sf_dir, "events").select(
         F.when(F.col("event_type") == "error", F.lit("Traceback (most recent call last):")).otherwise(line).alias("value")
     )
 
@@ -482,8 +487,8 @@ windows AS (
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``val``: one message per document, its text encrypted and base64 encoded inside."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"))
-    iv, key = _secret(F.col("doc_id").cast("string"), 16), _secret(F.col("source"), 16)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    iv, key = secret(F.col("doc_id").cast("string"), 16), secret(F.col("source"), 16)
     modified = F.concat(
         F.lit("2019-07-"), F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0"), F.lit("T11:05:09.250+0000")
     )
