@@ -411,4 +411,8 @@ def _record(
     if broken:
         raise RunFailed(", ".join(f"{row['collection']}: {row['status']}" for row in broken))
     files.write_run_parameters(announced, f"{run.output_root}/{run.snapshot_type}/run_parameters")
+    done = notices.completion_notices(announced).withColumns(
+        {"collection": F.lit("all_collections"), "status": F.lit(ended)}
+    )
+    tables.append_state(done.select("correlation_id", "collection", "status", "payload"), f"{store}.notices")
     return latest

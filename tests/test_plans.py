@@ -99,7 +99,9 @@ def test_full_run(spark, exports, make_run):
     parameters = sources.read_run_parameters(spark, f"{run.output_root}/full/run_parameters").first().asDict()
     assert parameters == {"correlation_id": "run-1", "s3_prefix": run.prefix, "snapshot_type": "full", "export_date": DATE}
     assert spark.table(f"{store}.run_ledger").orderBy(F.desc("at")).first()["status"] == "COMPLETED"
-    assert spark.table(f"{store}.notices").count() == 0
+    (notice,) = spark.table(f"{store}.notices").collect()
+    assert (notice["collection"], notice["status"]) == ("all_collections", "COMPLETED")
+    assert json.loads(notice["payload"]) == parameters
 
 
 def test_incremental_run(spark, exports, make_run):
