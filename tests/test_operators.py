@@ -248,7 +248,7 @@ def test_small_sources(spark, tmp_path):
     assert rows(sources.read_manifest(spark, str(tmp_path / "m.json"))) == [("p", "i", "c", "k")]
     (tmp_path / "p.csv").write_text("correlation_id,s3_prefix,snapshot_type,export_date\n1,p,full,d\n2,q,full,e\n")
     assert rows(sources.read_run_parameters(spark, str(tmp_path / "p.csv"))) == [("2", "q", "full", "e")]
-    (tmp_path / "columns.txt").write_text("visits_30, first_name\n")
+    (tmp_path / "columns.txt").write_text("visits_30, actor\n")
     assert sources.read_column_list(spark, str(tmp_path / "columns.txt")) == ["visits_30", "actor"]
     (tmp_path / "t.txt").write_text("a\n\nb\n")
     assert rows(sources.read_lines(spark, str(tmp_path / "t.txt"), "2021-07-02")) == [
