@@ -1,13 +1,18 @@
 """The training-data pipeline over ``documents``.
 
-Each stage works on all rows its predecessor kept and gives rows with the columns of ``documents``; the last one adds
-identifiers. Every stage's result is a table in the shared folder, so a lost executor costs its own tasks only.
+Each stage works on all rows its predecessor kept and gives rows with the columns of ``documents``; the last one gives
+identifiers instead. Every stage's result is a table in the shared folder, so a lost executor costs its own tasks only.
+
+Rules: whatever else ``documents`` holds goes with its row and is not changed, whatever its name; only ``text`` and
+``n_chars`` follow a redaction. A null or empty text has no letter and goes in the first stage. A null doc_id has no
+near duplicates and is judged as any other row. Repeated rows are one document and all stay or all go. An empty table
+gives an empty result, and an empty ``benchmark`` takes nothing out.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapforge.llm import bpe_codec, decontamination, language_id, near_duplicates, secret_scan
@@ -16,11 +21,22 @@ from snapforge.llm.common import table, written
 VOCABULARY = "word_bpe_49k.json"
 
 
+def _carried(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, row``: ``row`` has all columns but the text, so no operator meets a column with a name of its own."""
+    return docs.select("doc_id", "text", F.struct("doc_id", *(c for c in docs.columns if c not in ("doc_id", "text"))).alias("row"))
+
+
+def _restored(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` from rows that were carried."""
+    plain = {c: F.col("text") if c == "text" else F.col("row").getField(c) for c in docs.columns}
+    return rows.select(*(changed.get(c, column).alias(c) for c, column in plain.items()))
+
+
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a language go: null, or without a letter. The model learns from the rows that are not held out."""
     model = language_id.learn(docs.where(~language_id.is_held_out()))
-    judged = language_id.predict(docs, model)
-    return judged.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*docs.columns)
+    judged = language_id.predict(_carried(docs), model)
+    return _restored(judged.where(F.col("lang_pred") != language_id.UNDETERMINED), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,15 +46,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return judged.where("not contaminated").select(*docs.columns)
+    judged = decontamination.contaminated(_carried(docs), table(spark, sf_dir, "benchmark"))
+    return _restored(judged.where("not contaminated"), docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets become a mark, ``n_chars`` follows; the documents stay."""
-    found = secret_scan.redacted(secret_scan.scan(docs, secret_scan.learn(docs)))
-    changed = F.when(F.size("spans") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
-    return found.withColumn("n_chars", changed).select(*docs.columns)
+    found = secret_scan.scan(_carried(docs), secret_scan.learn(docs), masked_col="masked")
+    n_chars = F.when(F.size("spans") > 0, F.char_length("masked").cast("long")).otherwise(F.col("row.n_chars"))
+    return _restored(found, docs, text=F.col("masked"), n_chars=n_chars)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """``name``, with underscores before it until no column of ``taken`` has it in upper or lower case."""
+    names = {c.lower() for c in taken}
+    while name.lower() in names:
+        name = f"_{name}"
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z, nothing else. ``lower`` does just that to text of one byte per character and is much cheaper."""
     plain = F.octet_length(text) == F.char_length(text)

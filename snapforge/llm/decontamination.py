@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapforge.llm.common import ascii_lower, table, written
+from snapforge.llm.common import ascii_lower, fresh, table, written
 
 WINDOW = 13
 SHARE = 20  # a document is contaminated if at least one word in so many is hit
@@ -138,13 +138,15 @@ def hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_co
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """``documents`` with ``n_words, n_hit, item_ids, contaminated``; nothing is dropped."""
-    found = written(hits(documents, benchmark, window, id_col, text_col), "hits").select(
-        F.col("id").alias("_id"), F.col("text_key").alias("_key"), "n_hit", "item_ids")
+    """``documents`` with ``n_words, n_hit, item_ids, contaminated``, which replace columns of these names; no row is
+    dropped."""
     own = documents.drop("n_words", "n_hit", "item_ids", "contaminated")
+    found_id, found_key, own_key = (fresh(name, own.columns) for name in ("found_id", "found_key", "own_key"))
+    found = written(hits(documents, benchmark, window, id_col, text_col), "hits").select(
+        F.col("id").alias(found_id), F.col("text_key").alias(found_key), "n_hit", "item_ids")
     text_key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    joined = own.withColumns({"_text_key": text_key, "n_words": F.size(words(F.col(text_col))).cast("long")}).join(
-        found, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
+    joined = own.withColumns({own_key: text_key, "n_words": F.size(words(F.col(text_col))).cast("long")}).join(
+        found, F.col(id_col).eqNullSafe(F.col(found_id)) & (F.col(own_key) == F.col(found_key)), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return joined.select(
         *own.columns, "n_words", n_hit.alias("n_hit"),

@@ -132,13 +132,14 @@ def learn(documents: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", te
     They are chosen from the narrow columns; per task no more than ``sample`` rows of a language leave the scan. What
     comes to the driver is at most languages * sample texts of SAMPLE_CHARS characters.
     """
-    rows = documents.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-    first = Window.partitionBy(lang_col).orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col)
-    chosen = rows.select(id_col, lang_col).distinct().withColumn("_n", F.row_number().over(first)).where(
-        F.col("_n") <= sample).select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"))
-    heads = rows.join(F.broadcast(chosen), (F.col(id_col) == F.col("_id")) & (F.col(lang_col) == F.col("_lang")))
-    taken = heads.groupBy("_id", "_lang").agg(F.min(F.substring(text_col, 1, SAMPLE_CHARS)).alias("head"))
-    return fit([(r["head"], r["_lang"]) for r in taken.collect()])
+    rows = documents.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
+        "id is not null and lang is not null")
+    first = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
+    chosen = rows.select("id", "lang").distinct().withColumn("n", F.row_number().over(first)).where(
+        F.col("n") <= sample).select("id", "lang")
+    heads = rows.join(F.broadcast(chosen), ["id", "lang"])
+    taken = heads.groupBy("id", "lang").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("head"))
+    return fit([(r["head"], r["lang"]) for r in taken.collect()])
 
 
 def is_held_out(id_col: str = "doc_id") -> Column:
@@ -146,7 +147,7 @@ def is_held_out(id_col: str = "doc_id") -> Column:
 
 
 def predict(rows: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``rows`` with ``lang_pred, score, ambiguous``."""
+    """``rows`` with ``lang_pred, score, ambiguous``, which replace columns of these names."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
     new = [StructField("lang_pred", StringType()), StructField("score", DoubleType()),
            StructField("ambiguous", BooleanType())]

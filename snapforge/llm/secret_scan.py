@@ -16,7 +16,9 @@ Rules: a null or empty text has no spans. Offsets count code points, ends are ex
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -251,10 +253,28 @@ def find(text: str | None, field: Field) -> list[tuple[int, int, int]]:
     if not text:
         return []
     base = base_spans(text)
-    added = [(b, e, 3) for b, e in field.spans(text) if all(e <= x or b >= y for x, y, _ in base)]
+    begins, upto = [b for b, _, _ in base], list(accumulate((e for _, e, _ in base), max))
+
+    def free(begin: int, end: int) -> bool:
+        before = bisect_left(begins, end)
+        return not before or upto[before - 1] <= begin
+
+    added = [(b, e, 3) for b, e in field.spans(text) if free(b, e)]
     return sorted(base + added, key=lambda s: (s[0], s[2]))
 
 
+def masked(text: str | None, spans: list[tuple[int, int, int]], mark: str = "<secret>") -> str | None:
+    """``text`` with each run of overlapping spans replaced by ``mark``."""
+    if not spans:
+        return text
+    parts, upto = [], 0
+    for begin, end, _ in spans:
+        if begin >= upto:
+            parts += [text[upto:begin], mark]
+        upto = max(upto, end)
+    return "".join([*parts, text[upto:]])
+
+
 SPAN = StructType([StructField("kind", StringType()), StructField("begin", IntegerType()), StructField("end", IntegerType())])
 PATTERN_IN_TEXT = (r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{8}"
                    r"|(?-i:AKIA[A-Z0-9]{12}|[0-9a-f]{32})")
@@ -271,37 +291,27 @@ def learn(documents: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", te
     return fit([r["head"] for r in taken.collect()])
 
 
-def scan(rows: DataFrame, field: Field, text_col: str = "text", out: str = "spans") -> DataFrame:
-    """``rows`` with an array of ``kind, begin, end`` for the secrets of ``text_col``."""
+def scan(rows: DataFrame, field: Field, text_col: str = "text", out: str = "spans", masked_col: str | None = None) -> DataFrame:
+    """``rows`` with an array of ``kind, begin, end`` for the secrets of ``text_col``, and with ``masked_col`` the text
+    without them; both replace columns of these names."""
     shared = rows.sparkSession.sparkContext.broadcast(field)
-    kept = rows.drop(out)
+    kept = rows.drop(out, masked_col or out)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, text_col):
-                found = [[{"kind": KINDS[k], "begin": b, "end": e} for b, e, k in find(t.as_py(), shared.value)]
-                         for t in piece.column(text_col)]
-                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(found, kind)], [*piece.schema.names, out])
-
-    return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField(out, ArrayType(SPAN))]))
-
-
-def redacted(rows: DataFrame, text_col: str = "text", spans_col: str = "spans", mark: str = "<secret>") -> DataFrame:
-    """``rows`` with each run of overlapping spans in ``text_col`` replaced by ``mark``."""
-    text = F.col(text_col)
-    start = F.struct(F.lit("").alias("done"), F.lit(0).alias("upto"))
-
-    def step(s, x):
-        between = F.substring(text, s["upto"] + 1, F.greatest(x["begin"] - s["upto"], F.lit(0)))
-        fresh = F.concat(s["done"], between, F.lit(mark))
-        return F.struct(F.when(x["begin"] >= s["upto"], fresh).otherwise(s["done"]).alias("done"),
-                        F.greatest(s["upto"], x["end"]).alias("upto"))
-
-    def ending(s):
-        return F.concat(s["done"], F.substring(text, s["upto"] + 1, F.char_length(text)))
-
-    return rows.withColumn(text_col, F.when(F.size(spans_col) > 0, F.aggregate(spans_col, start, step, ending)).otherwise(text))
+                texts = piece.column(text_col).to_pylist()
+                found = [find(t, shared.value) for t in texts]
+                rows_of = [[{"kind": KINDS[k], "begin": b, "end": e} for b, e, k in spans] for spans in found]
+                columns, names = [*piece.columns, pa.array(rows_of, kind)], [*piece.schema.names, out]
+                if masked_col:
+                    columns.append(pa.array(map(masked, texts, found), pa.string()))
+                    names.append(masked_col)
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = StructType([*kept.schema.fields, StructField(out, ArrayType(SPAN))])
+    return kept.mapInArrow(run, schema.add(masked_col, StringType()) if masked_col else schema)
 
 
 def _listed(spans: str) -> Column:

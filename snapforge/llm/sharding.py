@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapforge.llm.common import table, written
+from snapforge.llm.common import fresh, table, written
 
 MULTIPLIER = 2862933555777941757  # of the published generator: key * MULTIPLIER + 1 modulo 2**64
 M_HIGH, M_LOW, WORD = MULTIPLIER >> 32, MULTIPLIER & 0xFFFFFFFF, 0xFFFFFFFF
@@ -76,9 +76,11 @@ def stable_key(column: Column) -> Column:
 
 
 def assign(rows: DataFrame, key: str, shards: int) -> DataFrame:
-    """``rows`` with ``shard`` and ``grown_shard``, the shard with one more. Nothing is shuffled."""
-    return rows.withColumn("_key", stable_key(F.col(key))).withColumns({
-        "shard": jump_hash(F.col("_key"), shards), "grown_shard": jump_hash(F.col("_key"), shards + 1)}).drop("_key")
+    """``rows`` with ``shard`` and ``grown_shard``, the shard with one more; they replace columns of these names. Nothing
+    is shuffled."""
+    halves = fresh("halves", rows.columns)
+    return rows.withColumn(halves, stable_key(F.col(key))).withColumns({
+        "shard": jump_hash(F.col(halves), shards), "grown_shard": jump_hash(F.col(halves), shards + 1)}).drop(halves)
 
 
 def with_slots(rows: DataFrame) -> DataFrame:

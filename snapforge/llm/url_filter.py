@@ -16,7 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapforge.llm.common import table, written
+from snapforge.llm.common import fresh, table, written
 from snapforge.llm.components import components
 
 
@@ -90,19 +90,21 @@ def class_verdicts(edges: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule], redirects: DataFrame | None = None) -> DataFrame:
-    """``pages`` with ``host, path, rule, verdict``. ``redirects`` (source, target URLs) adds edges to those in html."""
+    """``pages`` with ``host, path, rule, verdict``, which replace columns of these names. ``redirects`` (source, target
+    URLs) adds edges to those in html."""
     edges = links(pages)
     if redirects is not None:
         edges = edges.unionByName(redirects.select(
             alias_key(F.col("source")).alias("source"), alias_key(F.col("target")).alias("target")).dropna())
     carried = written(class_verdicts(edges, rules), "aliases")
-    kept = [F.col(c) for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
+    key, own, other = (fresh(name, kept) for name in ("key", "own", "carried"))
     judged = pages.select(*kept, host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"),
-                          alias_key(F.col("url")).alias("_key"))
+                          alias_key(F.col("url")).alias(key))
     host, path = F.col("host"), F.col("path")
-    judged = judged.withColumns({"rule": rule_for(host, path, rules), "_own": rule_for(host, path, rules, "action")})
-    return judged.join(carried.withColumnRenamed("key", "_key"), "_key", "left").withColumn(
-        "verdict", F.coalesce("_own", "carried", F.lit("allow"))).drop("_key", "_own", "carried")
+    judged = judged.withColumns({"rule": rule_for(host, path, rules), own: rule_for(host, path, rules, "action")})
+    return judged.join(carried.withColumnsRenamed({"key": key, "carried": other}), key, "left").withColumn(
+        "verdict", F.coalesce(own, other, F.lit("allow"))).drop(key, own, other)
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
