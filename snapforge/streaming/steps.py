@@ -25,7 +25,8 @@ def follow_steps(
 
     ``memory`` keeps the last observation per run and whether the run has ended, one folder per batch. Both are
     overwritten when a batch is repeated, so an update is neither lost nor doubled. Observations that are not
-    newer than the remembered one are ignored.
+    newer than the remembered one came too late to be compared with the one before them: they change nothing and
+    are kept in ``<updates>_late/batch_id=N``. Later observations of an ended run are ignored, as in the batch operator.
     """
     columns = observations.columns
 
@@ -37,11 +38,10 @@ def follow_steps(
             last = known.select(
                 "correlation_id", F.struct(*order).alias("_last"), F.col("_ended").alias("_run_ended")
             )
-            fresh = (
-                batch.join(last, "correlation_id", "left")
-                .where(F.col("_last").isNull() | (~F.col("_run_ended") & (F.struct(*order) > F.col("_last"))))
-                .select(*columns)
-            )
+            beside = batch.join(last, "correlation_id", "left")
+            newer = F.col("_last").isNull() | (F.struct(*order) > F.col("_last"))
+            fresh = beside.where(newer & ~F.coalesce("_run_ended", F.lit(False))).select(*columns)
+            beside.where(~newer).select(*columns).write.mode("overwrite").parquet(f"{updates}_late/batch_id={batch_id}")
             seen = known.unionByName(fresh.withColumn("_ended", F.lit(False)))
         marked = seen.where(~F.col("_ended")).select(*columns)
         written = changes.state_changes(marked, order, bucket, final_step)

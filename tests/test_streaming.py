@@ -62,6 +62,27 @@ def test_step_changes_stream_in_batches(spark, tmp_path):
             stream, ["ts", "seq"], "hour", "last", str(tmp_path / "updates"), str(tmp_path / "memory"), str(tmp_path / "check")
         ).awaitTermination()
     assert found(spark.read.parquet(str(tmp_path / "updates"))) == expected(rows)
+    assert spark.read.parquet(str(tmp_path / "updates_late")).count() == 0
+
+
+def test_late_observations_are_kept(spark, tmp_path):
+    def row(run, step, minute):
+        at = T0 + timedelta(minutes=minute)
+        return (run, step, "RUNNING" if step == "a" else "COMPLETED", at, minute, at.replace(minute=0))
+
+    batches = [[row("x", "a", 1), row("x", "b", 9), row("y", "last", 5)],
+               [row("x", "c", 3), row("x", "b", 9), row("x", "a", 10), row("y", "a", 2), row("y", "a", 7), row("z", "a", 1)]]
+    source = str(tmp_path / "observations")
+    for rows in batches:
+        spark.createDataFrame(rows, OBSERVED).coalesce(1).write.mode("append").parquet(source)
+        steps.follow_steps(
+            spark.readStream.schema(OBSERVED).parquet(source), ["ts", "seq"], "hour", "last", str(tmp_path / "updates"),
+            str(tmp_path / "memory"), str(tmp_path / "check"),
+        ).awaitTermination()
+    late = spark.read.parquet(str(tmp_path / "updates_late")).collect()
+    assert sorted((r["correlation_id"], r["seq"]) for r in late) == [("x", 3), ("x", 9), ("y", 2)]
+    updates = found(spark.read.parquet(str(tmp_path / "updates")))
+    assert [u[:2] for u in updates] == [("x", 1), ("x", 9), ("x", 10), ("y", 5), ("z", 1)]
 
 
 def cluster_rows(spark):
