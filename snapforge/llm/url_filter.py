@@ -4,7 +4,9 @@ Rules: the longest rule that fits decides. A URL that no rule fits takes the dec
 them is explicitly allowed, else blocked if one is blocked, else allowed. Aliases are the URLs joined, over any number
 of steps, by a canonical link or a refresh redirect in a page's html; URLs that differ in scheme or fragment only are
 one. A null URL, or one without ``://``, has an empty host and path, fits no rule and has no alias. Repeated rows are
-judged alike, a null html has no links, and links that cannot be read as URLs are ignored.
+judged alike, and a null html has no links. All canonical links and refreshes of a page count; their targets are resolved
+against its ``base``, if it has one, or its URL, after ``&amp;`` is decoded. Targets of other schemes (``mailto:``) are
+ignored.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ PARTS = "://([^/?#]*)([^?#]*)"
 CANONICAL = r"""(?i)<link\s[^>]*rel\s*=\s*["']?canonical["'\s>][^>]*"""
 REFRESH = r"""(?i)<meta\s[^>]*http-equiv\s*=\s*["']?refresh["'\s>][^>]*"""
 HREF = r"""(?i)\shref\s*=\s*["']?([^"'\s>]+)"""
+BASE = r"(?i)<base\s[^>]*\shref\s*=[^>]*|<base\shref\s*=[^>]*"
+SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*"
 TARGET = r"""(?i)url\s*=\s*["']?([^"'\s>]+)"""
 
 
@@ -64,16 +68,50 @@ def rule_for(host: Column, path: Column, rules: Sequence[Rule], value: str = "na
     return found
 
 
+def unescaped(target: Column) -> Column:
+    """``target`` without the character references of marks that URLs are made of; the ampersand's come last."""
+    for mark in "/:?=#&":
+        code = f"#0*{ord(mark)}|#x0*{ord(mark):x}" + "|amp" * (mark == "&")
+        target = F.regexp_replace(target, f"(?i)&(?:{code});", mark)
+    return target
+
+
+def without_dots(path: Column) -> Column:
+    """A path that begins with ``/``, its segments ``.`` and ``..`` taken as steps."""
+    parts = F.split(F.substr(F.regexp_replace(path, r"(/\.\.?)$", "$1/"), F.lit(2)), "/")
+    return F.concat(F.lit("/"), F.array_join(F.aggregate(
+        parts, F.array().cast("array<string>"), lambda done, part: F.when(
+            part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(
+            part == ".", done).otherwise(F.concat(done, F.array(part)))), "/"))
+
+
+def resolved(base: Column, target: Column) -> Column:
+    """The URL that ``target`` names in a page at ``base``; null for what is no place, as ``mailto:``. A target with a
+    scheme is taken as it stands."""
+    site, own = F.regexp_extract(base, "^[^/?#]*://[^/?#]*", 0), path_of(base)
+    rest = F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    path = F.regexp_extract(target, "^[^?#]*", 0)
+    folder = F.regexp_extract(own, "(?s)^.*/", 0)
+    beside = F.concat(F.when(folder == "", "/").otherwise(folder), path)
+    return F.when(target.rlike(f"^{SCHEME}://"), target).when(target.rlike(f"^{SCHEME}:"), None).when(
+        target.startswith("//"), F.concat(F.lit("http:"), target)).when(target.startswith("#"), base).when(
+        target.startswith("?"), F.concat(site, F.when(own == "", "/").otherwise(own), target)).otherwise(
+        F.concat(site, without_dots(F.when(path.startswith("/"), path).otherwise(beside)), rest))
+
+
 def links(pages: DataFrame) -> DataFrame:
     """``source, target`` keys of the canonical links and redirects that pages hold."""
 
-    def target(tag: str, inside: str) -> Column:
-        found = F.regexp_extract(F.regexp_extract("html", tag, 0), inside, 1)
-        base = F.regexp_extract("url", "^[^/?#]*://[^/?#]*", 0)
-        return F.when(found.startswith("//"), F.concat(F.lit("http:"), found)).when(
-            found.startswith("/"), F.concat(base, found)).when(found.contains("://"), found)
+    def targets(tag: str, inside: str) -> Column:
+        return F.transform(F.regexp_extract_all("html", F.lit(tag), F.lit(0)),
+                           lambda found: F.regexp_extract(found, inside, 1))
 
-    both = pages.select("url", F.explode(F.array(target(CANONICAL, HREF), target(REFRESH, TARGET))).alias("to"))
+    base = F.regexp_extract(F.regexp_extract("html", BASE, 0), HREF, 1)
+    both = pages.select("url", base.alias("base"), F.explode(F.concat(targets(CANONICAL, HREF), targets(REFRESH, TARGET))).alias("to"))
+    both = both.where("to <> ''").select("url", unescaped(F.col("base")).alias("base"), unescaped(F.col("to")).alias("to"))
+    both = both.withColumn("base", F.when(F.col("base") == "", F.col("url")).otherwise(
+        F.coalesce(resolved(F.col("url"), F.col("base")), "url")))
+    both = both.withColumn("to", resolved(F.col("base"), F.col("to")))
     return both.where("to is not null").select(
         alias_key(F.col("url")).alias("source"), alias_key(F.col("to")).alias("target")).dropna()
 

@@ -147,6 +147,35 @@ def test_url_aliases(spark):
     assert out[7] == ("example.net/en/", "allow") and out[8] == (None, "allow")
 
 
+REFERENCES = [("http://h/b/c/d;p?q", *pair) for pair in (  # as RFC 3986, 5.4, has them
+    ("g", "h/b/c/g"), ("./g", "h/b/c/g"), ("g/", "h/b/c/g/"), ("/g", "h/g"), ("//g", "g/"), ("?y", "h/b/c/d;p?y"), ("g?y", "h/b/c/g?y"),
+    ("#s", "h/b/c/d;p?q"), ("g#s", "h/b/c/g"), ("g;x=1/../y", "h/b/c/y"), (".", "h/b/c/"), ("./", "h/b/c/"), ("..", "h/b/"), ("../", "h/b/"),
+    ("../g", "h/b/g"), ("../..", "h/"), ("../../../g", "h/g"), ("/./g", "h/g"), ("/../g", "h/g"), ("g.", "h/b/c/g."), ("..g", "h/b/c/..g"),
+    ("g?y/../x", "h/b/c/g?y/../x"), ("mailto:a", None), ("?u=http://x/", "h/b/c/d;p?u=http://x/"), ("http://x/a/../b", "x/a/../b"))]
+REFERENCES += [("http://h", "g", "h/g"), ("http://h", "?y", "h/?y"), ("http://h?q", "../g", "h/g"), ("nowhere", "g", None), (None, "g", None)]
+
+
+def test_references_resolve(spark):
+    rows = spark.createDataFrame([(k, *r) for k, r in enumerate(REFERENCES)], "k int, base string, target string, want string")
+    got = rows.withColumn("got", url_filter.alias_key(url_filter.resolved(F.col("base"), F.col("target")))).collect()
+    assert [(r["base"], r["target"], r["got"]) for r in sorted(got)] == REFERENCES
+
+
+def test_url_aliases_of_relative_targets(spark):
+    refresh = '<meta http-equiv="refresh" content="0; url={}">'.format
+    link = '<link rel="canonical" href="{}">'.format
+    rows = [(1, "http://www.example.com/en/a.html", refresh("../de/x")), (2, "http://www.example.com/en/", refresh("b?x=1&amp;y=2")),
+            (3, "http://www.example.com/en/b?x=1&y=2", refresh("/de/")), (4, "http://www.example.com/en/q", refresh("?page=2")),
+            (5, "http://www.example.com/en/q?page=2", link("/fr/") + link("http://spam.net/")),
+            (6, "http://www.example.com/en/two", refresh("http://c.org/") + refresh("http://spam.net/2")),
+            (7, "http://a.org/x", '<base href="http://www.example.com/de/">' + link("y")), (8, "http://b.org/x", link("y")),
+            (9, "http://e.org/", link("mailto:a@spam.net")), (10, "http://f.org/", link("next?u=http://spam.net/")),
+            (11, "http://g.org/", link("//spam.net&#x2F;a&#47;b")), (12, "http://k.org/", link("&amp;#47;"))]
+    out = {r["page_id"]: r["verdict"] for r in url_filter.judge(
+        spark.createDataFrame(rows, "page_id long, url string, html string"), url_filter.RULES).collect()}
+    assert [k for k, v in sorted(out.items()) if v == "block"] == [1, 2, 3, 4, 5, 6, 7, 11] and len(out) == 12
+
+
 def test_archives(spark, tmp_path):
     rows = [(1, "http://a/", "same"), (2, "http://b/\r\nX: y", "same"), (3, None, None), (4, "http://c/", ""),
             (5, "http://d/", "WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.1\r\n"), (None, "http://e/", "same"), (1, "http://a/", "same")]
