@@ -4,7 +4,8 @@ Each stage works on all rows its predecessor kept and gives rows with the column
 identifiers instead. Every stage's result is a table in the shared folder, so a lost executor costs its own tasks only.
 
 Rules: whatever else ``documents`` holds goes with its row and is not changed, whatever its name; only ``text`` and
-``n_chars`` follow a redaction. A null or empty text has no letter and goes in the first stage. A null doc_id has no
+``n_chars`` follow a redaction. A null or empty text has no letter and goes in the first stage; texts with a letter stay,
+also where no row tells a language (no ``lang``, all such rows held out or without a doc_id). A null doc_id has no
 near duplicates and is judged as any other row. Repeated rows are one document and all stay or all go. An empty table
 gives an empty result, and an empty ``benchmark`` takes nothing out.
 """
@@ -33,8 +34,11 @@ def _restored(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a language go: null, or without a letter. The model learns from the rows that are not held out."""
+    """Texts without a language go: null, or without a letter. The model learns from the rows that are not held out; where
+    they teach no language, it would call every text ``und``, so the letters alone decide."""
     model = language_id.learn(docs.where(~language_id.is_held_out()))
+    if not model.languages:
+        return _restored(language_id.lettered(_carried(docs)), docs)
     judged = language_id.predict(_carried(docs), model)
     return _restored(judged.where(F.col("lang_pred") != language_id.UNDETERMINED), docs)
 

@@ -75,6 +75,10 @@ def codewords(n: int) -> np.ndarray:
     return max(tries, key=lambda c: min(int((a != b).sum()) for a, b in combinations(c, 2)) if n < 200 else 0)
 
 
+def has_letter(text: str | None) -> bool:
+    return bool(text) and any(map(str.isalpha, text))
+
+
 class Model:
     def __init__(self, languages: list[str], code: np.ndarray, weights: np.ndarray, bias: np.ndarray,
                  trust: np.ndarray) -> None:
@@ -88,7 +92,7 @@ class Model:
         return np.logaddexp(0, -self.code * np.clip(margins, -30, 30)) @ self.trust
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
-        if not self.languages or not text or not any(map(str.isalpha, text)):
+        if not self.languages or not has_letter(text):
             return UNDETERMINED, 0.0, True
         if len(self.languages) == 1:
             return self.languages[0], 1.0, False
@@ -101,7 +105,7 @@ class Model:
 
 def fit(rows: list[tuple[str, str]], rounds: int = 60, penalty: float = 1e-4) -> Model:
     """From (text, language) pairs; the order of the pairs makes no difference to which model is meant."""
-    rows = sorted((t[:SAMPLE_CHARS], lang) for t, lang in rows if t and any(map(str.isalpha, t)))
+    rows = sorted((t[:SAMPLE_CHARS], lang) for t, lang in rows if has_letter(t))
     languages = sorted({lang for _, lang in rows})
     code = codewords(max(len(languages), 1))
     if len(languages) < 2:
@@ -163,6 +167,17 @@ def predict(rows: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return kept.mapInArrow(run, StructType([*kept.schema.fields, *new]))
 
 
+def lettered(rows: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows whose text is neither null nor without a letter, so that are not ``und`` once a language was learned."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, text_col):
+                yield piece.filter(pa.array([has_letter(t.as_py()) for t in piece.column(text_col)], pa.bool_()))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = learn(documents.where(~is_held_out()))

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from snapforge import llm
-from snapforge.llm import secret_scan
+from snapforge.llm import language_id, secret_scan
 
 SF = "/root/testdata/sf0.001"
 LIBRARY = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
@@ -214,3 +214,16 @@ def test_pipeline_of_nothing(spark, tmp_path):
 def test_pipeline_on_given_tables(spark):
     out = corpus_pipeline.run(spark, SF)
     assert 0 < out.count() == out.select("doc_id").distinct().count() and out.where("n_tokens <> size(ids)").count() == 0
+
+
+@pytest.mark.parametrize("ids, lang", [(range(6), None), ([5, 7, 15, 17], "de"), ([None] * 4, "de")])
+def test_languages_not_learned(spark, ids, lang):
+    """No label, all labelled rows held out, or labelled rows without doc_id: what has letters stays."""
+    texts = ["ein Text", "12 !!", None, "größe", "", "x"]
+    docs = spark.createDataFrame([(k, t, lang, 7) for k, t in zip(ids, texts, strict=False)],
+                                 "doc_id long, text string, lang string, row int")
+    expected = sorted((tuple(r) for r in docs.collect() if r["text"] and any(map(str.isalpha, r["text"]))), key=repr)
+    assert expected
+    assert not language_id.learn(docs.where(~language_id.is_held_out())).languages
+    out = corpus_pipeline.keep_languages(spark, docs, SF)
+    assert out.columns == docs.columns and sorted(map(tuple, out.collect()), key=repr) == expected
