@@ -5,10 +5,11 @@ shapes and what else the text holds; the best labels are found by Viterbi. Spans
 has a span; spans of patterns always stay.
 
 The field is fitted to labels that the patterns give on a bounded sample (``sample`` texts with a pattern's span and as
-many without, those with the smallest hash, SAMPLE_CHARS characters and SAMPLE_WINDOWS windows of each). Most tokens of a text are plain
-words after plain words. If such a token's score for "outside" leads by more than two transitions can make up, the
-best path is outside there, so the text falls into short chains that are decoded one by one; that is exact, and where the
-fitted weights give no such lead, the whole text is one chain.
+many without, those with the smallest hash, SAMPLE_CHARS characters and SAMPLE_WINDOWS windows of each). Most tokens of a
+text are plain words after plain words, without a digit of any script and not of the letters a-f only. If such a token's
+score for "outside" leads by more than two transitions can make up, the best path is outside there, so the text falls into
+short chains that are decoded one by one; that is exact, and where the fitted weights give no such lead, the whole text is
+one chain.
 
 Rules: a null or empty text has no spans. Offsets count code points, ends are exclusive. Repeated rows are alike.
 """
@@ -16,6 +17,7 @@ Rules: a null or empty text has no spans. Offsets count code points, ends are ex
 from __future__ import annotations
 
 import re
+import sys
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import accumulate
@@ -44,6 +46,16 @@ TOKEN = re.compile(r"\S+")
 #: Tokens that are not plain words: a digit, an operator of assignments or of encoded text, a name, or long.
 ODD = re.compile(r"(?<!\S)(?:(?=\S*[0-9=_+/:])\S+|\S{20,}|(?=\S*(?:[Pp][Aa][Ss][Ss][Ww]|[Ss][Ee][Cc][Rr][Ee][Tt]"
                  r"|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]))\S+)")
+#: Digits other than 0-9: words with one are plain, but have features of digits.
+DIGITS = frozenset(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isdigit())
+#: What the field looks at in texts that may have such words, or words of nothing but letters a-f: odd tokens and these.
+_DIGIT, _MARKS, HEX_LETTERS = re.escape("".join(sorted(DIGITS))), r"""["'`,;.()\[\]{}<>]*+""", re.compile("[a-f]{8}")
+WATCHED = re.compile(rf"{ODD.pattern[:-1]}|[^\s{_DIGIT}]*+[{_DIGIT}]\S*+|{_MARKS}[a-f]{{8,}}+{_MARKS}(?!\S))")
+
+
+def _watched(text: str) -> re.Pattern[str]:
+    rare = HEX_LETTERS.search(text) or not text.isascii() and not DIGITS.isdisjoint(text)
+    return WATCHED if rare else ODD
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -120,7 +132,8 @@ def viterbi(emission: np.ndarray, transition: np.ndarray) -> np.ndarray:
 class Field:
     def __init__(self, weights: np.ndarray, transition: np.ndarray) -> None:
         self.weights, self.transition = weights, transition
-        # a plain word after a plain word, whatever else it and its text may be
+        # an unwatched word after an unwatched word, whatever else it and its text may be; all other features of a word need
+        # a token that is watched, here or before
         sure = [PLACE["bias"], PLACE["plain"]]
         free = [PLACE[n] for n in ("upper and lower", "before odd", "before plain", "text with names",
                                    "text with assignments")]
@@ -150,7 +163,7 @@ class Field:
                 yield chain, None, None
             return
         chain, end = [], 0
-        for m in ODD.finditer(text):
+        for m in _watched(text).finditer(text):
             if chain and text[end:m.start()].strip():  # a word between: it belongs to the chain before
                 follower = TOKEN.search(text, end)
                 chain.append((follower[0], follower.start()))

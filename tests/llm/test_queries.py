@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +123,21 @@ def test_secrets(spark, odd):
         assert field.spans(t) == whole.spans(t)
 
 
+def test_cut_chains_meet_all_features_of_plain_words():
+    """Digits of other scripts and words of the letters a-f only are plain words, but not sure to be outside."""
+    for feature in ("digit", "letters and digits", "only hexadecimal", "access shape"):
+        weights = np.zeros((len(secret_scan.FEATURES), 3))
+        weights[secret_scan.PLACE["plain"], secret_scan.OUT], weights[secret_scan.PLACE[feature], secret_scan.BEGIN] = 5, 20
+        weights[secret_scan.PLACE["before odd"], secret_scan.IN] = 2
+        field, whole = secret_scan.Field(weights, np.zeros((3, 3))), secret_scan.Field(weights, np.zeros((3, 3)))
+        assert field.cuts
+        whole.cuts = False
+        for word in ("١٢٣٤٥", "abc१२३", "ABCDEFGHIJKL٣", "deadbeefcafe", "(deadbeef),", "x²", "deadbeefg", "DEADBEEF"):
+            for text in (f"a plain text {word} goes on", word, f"{word} {word} a b c", f"a b c k=1 d {word}"):
+                assert field.spans(text) == whole.spans(text)
+    assert whole.spans("see ABCDEFGHIJKL٣ here") == [(4, 17)]
+
+
 def test_neighbours(spark):
     vectors = [(k, [math.sin(k * j + j) for j in range(1, 9)]) for k in range(300)]
     bad = [(900, None), (901, [0.0] * 8), (902, [float("nan")] * 8), (903, [1.0]), (None, [1.0] * 8), (0, vectors[0][1])]
