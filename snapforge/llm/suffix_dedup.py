@@ -1,19 +1,21 @@
 """Repeated passages by bucket-pointer refinement of suffixes, without a shuffle of every suffix.
 
-A window is ``depth`` bytes. Its anchor is the smallest q-gram inside (the leftmost of equals; q is a little more than half
-the depth), so equal windows have equal anchors at equal places, and neighbouring windows share one. The anchors are
-the suffixes that are sorted, about one in thirteen bytes:
-
-1. Initial buckets: the q-grams of the anchors. A bucket with one document only is finished; its windows are unique.
-2. The members of other buckets bring their context, the bytes of all windows they anchor. Members with equal contexts
-   are one; a bucket with one context is finished. What is left is refined: bytes are numbered by their 8-gram, then by the
-   pair (number here, number 8 further on), and so on until the numbers stand for ``depth`` bytes, each round sorting on
+A window is ``depth`` bytes. Its anchor is the smallest q-gram inside (the leftmost of equals; q is a third of the depth),
+so equal windows have equal anchors at equal places, and neighbouring windows share one. The anchors are the suffixes
+that are sorted, about one in seventeen bytes:
+
+1. Initial buckets: the q-grams of the anchors. A bucket with one document only is finished; its windows are unique. Each
+   member has a context, the bytes of all windows it anchors. Members with equal contexts are one: all but the smallest
+   document are repeated there, and a bucket with one context is finished.
+2. What is left is refined, for the smallest document of each context: bytes are numbered by their 8-gram, then by the pair
+   (number here, number 8 further on), and so on until the numbers stand for ``depth`` bytes, each round sorting on
    the numbers of the round before. Windows with one number are equal, and the smallest document of each is known.
-3. A bucket with more than ``crowd`` members is not refined by one task: its windows themselves become keys that Spark groups.
+3. A bucket with too many members for one task is not refined there: its windows themselves become keys that Spark groups.
 
-Numbers of q-grams only choose buckets; equality is decided on bytes and on exact numbers. Documents are dealt to slices
-of bounded size that are stored once, bucketed by slice; each step reads them in place, and a slice sends every bucket,
-context or window once, whatever number of its documents hold it. So a passage of all documents costs a row per slice.
+Buckets and contexts are named by 64 bits each, so two contexts are taken for one with a chance of 2 to the power of -64
+for each pair inside a bucket; windows are compared by exact numbers or as bytes. Documents are dealt to slices of
+bounded size that are stored once, bucketed by slice; each step reads them in place, and a slice sends every context or
+window once, whatever number of its documents hold it. So a passage of all documents costs a row per slice.
 
 Rules: a byte goes if a window over it also starts in a document with a smaller id, judged on the input. Texts are bytes;
 matches stay inside a document. A null text is empty. A null id is neither smaller nor larger: its row is kept whole
@@ -37,7 +39,9 @@ from snapforge.llm.common import table, written
 from snapforge.session import new_run_dir
 
 DEPTH, CROWD = 50, 20_000
+CONTEXTS = 32  # contexts of one bucket that a slice sends before it calls the bucket crowded
 SLICE_BYTES = 16 << 20
+REPEATED, OPEN, CROWDED = range(3)
 PIECE = 1 << 19  # windows looked at in one go, less than 2 to the power of PLACE_BITS
 PLACE_BITS = 20
 SPANS = "array<struct<begin:long,end:long>>"
@@ -65,19 +69,18 @@ def _eight(data: np.ndarray) -> np.ndarray:
 
 
 def gram_length(depth: int) -> int:
-    """Grams no shorter than the distance of two anchors: three of them cover a context."""
     if depth < 16:
         raise ValueError("a window has 16 bytes at least")
-    return depth // 2 + 1
+    return max(8, depth // 3)
 
 
-def _grams(data: np.ndarray, length: int) -> np.ndarray:
-    out, width = _eight(data), 8
+def _longer(numbers: np.ndarray, width: int, length: int) -> np.ndarray:
+    """Numbers of ``length`` bytes from those of ``width`` bytes, here and further on."""
     while width < length:
         step = min(width, length - width)
-        out = _pair(out[:-step], out[step:])
+        numbers = _pair(numbers[:-step], numbers[step:])
         width += step
-    return out
+    return numbers
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -127,7 +130,8 @@ class Anchors:
     def _piece(self, held: list[tuple[int, int, int]]) -> tuple:
         tail = self.depth - 1
         data = np.frombuffer(b"".join(self.texts[k][begin:end + tail] for k, begin, end in held), np.uint8)
-        grams = _grams(data, self.length)
+        grams = _longer(_mixed(_eight(data)), 8, self.length)
+        windows = _longer(grams, self.length, self.depth)
         mask = np.uint64((1 << PLACE_BITS) - 1)
         marked = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)
         owner = (_sliding_least(marked, self.depth - self.length + 1) & mask).astype(np.int64)
@@ -143,7 +147,7 @@ class Anchors:
         first, part, anchor = place[at], part[at], owner[at]
         lead = anchor - first
         shape = (lead * self.depth + count).astype(np.uint64)
-        context = _pair(_pair(grams[first], grams[first + count - 1 + self.depth - self.length]), shape)
+        context = _pair(_pair(windows[first], windows[first + count - 1]), shape)  # these two cover all of it
         docs, begins = np.array([k for k, _, _ in held]), np.array([begin for _, begin, _ in held])
         return docs[part], first - offsets[part] + begins[part], count, lead, grams[anchor], context
 
@@ -178,20 +182,31 @@ def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _initial_buckets(texts: DataFrame, depth: int) -> DataFrame:
-    """Per slice and gram: smallest and largest document, number of anchors."""
+    """Per slice, gram and context: smallest and largest document, the latter null if it is the same, and rows of one
+    document together, which makes the shuffle smaller. A gram with many contexts in a slice gives one row without any."""
 
     def run(rows: pa.Table) -> pa.Table:
         anchors, ids = _taking_part(rows, depth)
-        order, at = _groups(anchors.gram)
+        order, at = _groups(anchors.gram, anchors.context)
         if not len(order):
-            return pa.table({c: pa.array([], pa.int64()) for c in ("gram", "slice", "low", "high", "n")})
-        ids = ids[order]
+            return pa.table({c: pa.array([], pa.int64()) for c in ("gram", "context", "slice", "low", "high")})
+        low, high = np.minimum.reduceat(ids[order], at), np.maximum.reduceat(ids[order], at)
+        gram, context = anchors.gram[order][at], anchors.context[order][at]
+        begin = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+        sizes = np.diff(np.append(begin, len(gram)))
+        many = np.repeat(sizes > CONTEXTS, sizes)
+        first = np.zeros(len(gram), bool)
+        first[begin] = True
+        low = np.where(many, np.repeat(np.minimum.reduceat(low, begin), sizes), low)
+        high = np.where(many, np.repeat(np.maximum.reduceat(high, begin), sizes), high)
+        kept = np.flatnonzero(~many | first)
+        kept = kept[np.argsort(low[kept], kind="stable")]
         return pa.table({
-            "gram": _signed(anchors.gram[order][at]), "slice": pa.array(np.full(len(at), _slice_of(rows))),
-            "low": pa.array(np.minimum.reduceat(ids, at)), "high": pa.array(np.maximum.reduceat(ids, at)),
-            "n": pa.array(np.diff(np.append(at, len(order))))})
+            "gram": _signed(gram[kept]), "context": pa.array(context[kept].view(np.int64), mask=many[kept]),
+            "slice": pa.array(np.full(len(kept), _slice_of(rows))), "low": pa.array(low[kept]),
+            "high": pa.array(high[kept], mask=(high == low)[kept])})
 
-    return texts.groupBy("slice").applyInArrow(run, "gram long, slice long, low long, high long, n long")
+    return texts.groupBy("slice").applyInArrow(run, "gram long, context long, slice long, low long, high long")
 
 
 def _read_all(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
@@ -199,75 +214,81 @@ def _read_all(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
     return pa.Table.from_batches(held) if held else None
 
 
-def _shared_buckets(buckets: DataFrame, parts: int) -> DataFrame:
-    """``slice, gram, members`` of the buckets with several documents."""
+def _per_group(values: np.ndarray, at: np.ndarray, total: int) -> np.ndarray:
+    """One value a group, given to all members."""
+    return np.repeat(values, np.diff(np.append(at, total)))
+
+
+def _shared_buckets(buckets: DataFrame, parts: int, crowd: int) -> DataFrame:
+    """``slice, gram, context, lowest, state`` of buckets with several documents: ``lowest`` is the smallest document
+    with the context. REPEATED: it is smaller than one of the slice. OPEN: the slice has that document, and the bucket
+    has other contexts, so its windows are to be looked at. CROWDED: the bucket is too large for one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = _read_all(batches)
         if rows is None:
             return
-        gram, owner, low, high, n = (np.asarray(rows.column(c)) for c in ("gram", "slice", "low", "high", "n"))
-        order, at = _groups(gram)
-        sizes = np.diff(np.append(at, len(order)))
-        several = np.minimum.reduceat(low[order], at) < np.maximum.reduceat(high[order], at)
-        members = np.repeat(np.add.reduceat(n[order], at), sizes)
-        chosen = np.repeat(several, sizes)
-        yield pa.RecordBatch.from_arrays([pa.array(c[chosen]) for c in (owner[order], gram[order], members)],
-                                         ["slice", "gram", "members"])
-
-    return buckets.repartition(parts, "gram").mapInArrow(run, "slice long, gram long, members long")
-
-
-def _lookup(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Place of each key, and whether it is there."""
-    if not len(sorted_keys):
-        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-    return at, sorted_keys[at] == keys
-
-
-def _members(texts: DataFrame, shared: DataFrame, depth: int, crowd: int) -> DataFrame:
-    """Contexts of the members of shared buckets, once a slice; windows instead in crowded buckets."""
-    kind = "slice long, gram long, context long, bytes binary, low long, high long, crowded boolean"
-    empty = pa.schema([("slice", pa.int64()), ("gram", pa.int64()), ("context", pa.int64()), ("bytes", pa.binary()),
-                       ("low", pa.int64()), ("high", pa.int64()), ("crowded", pa.bool_())])
+        order, at = _groups(np.asarray(rows.column("gram")), np.asarray(pc.fill_null(rows.column("context"), 0)))
+        rows, total = rows.take(pa.array(order)), len(order)
+        gram, owner, low = (np.asarray(rows.column(c)) for c in ("gram", "slice", "low"))
+        context, high = rows.column("context"), np.asarray(pc.coalesce(rows.column("high"), rows.column("low")))
+        lowest = _per_group(np.minimum.reduceat(low, at), at, total)
+        by_gram = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+        several = _per_group(np.minimum.reduceat(low, by_gram) < np.maximum.reduceat(high, by_gram), by_gram, total)
+        sizes = np.diff(np.append(by_gram, total))
+        unnamed = np.logical_or.reduceat(~np.asarray(context.is_valid()), by_gram)
+        crowded = several & _per_group(unnamed | (sizes > crowd), by_gram, total)
+        new = np.zeros(total, np.int64)
+        new[at] = 1
+        several_contexts = _per_group(np.add.reduceat(new, by_gram) > 1, by_gram, total)
+        repeated, opened = several & ~crowded & (lowest < high), several & ~crowded & several_contexts & (low == lowest)
+        out = [(crowded, CROWDED), (repeated, REPEATED), (opened, OPEN)]
+        for rows_of, state in out:
+            n = int(rows_of.sum())
+            chosen = [pa.array(owner[rows_of]), pa.array(gram[rows_of]), context.filter(pa.array(rows_of)).combine_chunks(),
+                      pa.array(lowest[rows_of]), pa.array(np.full(n, state, np.int32))]
+            yield pa.RecordBatch.from_arrays(chosen, ["slice", "gram", "context", "lowest", "state"])
+
+    kind = "slice long, gram long, context long, lowest long, state int"
+    return buckets.repartition(parts, "gram").mapInArrow(run, kind)
+
+
+def _members(texts: DataFrame, shared: DataFrame, depth: int) -> DataFrame:
+    """The bytes of open contexts, and all windows of crowded buckets, once a slice."""
+    names = ("slice", "gram", "context", "bytes", "low", "high")
+    empty = pa.schema([(c, pa.binary() if c == "bytes" else pa.int64()) for c in names])
 
     def run(rows: pa.Table, known: pa.Table) -> pa.Table:
         if not rows.num_rows or not known.num_rows:
             return empty.empty_table()
         anchors, ids = _taking_part(rows, depth)
-        grams, members = np.asarray(known.column("gram")), np.asarray(known.column("members"))
-        by_gram = np.argsort(grams)
-        grams, members = grams[by_gram], members[by_gram]
-        at, hit = _lookup(grams, anchors.gram.view(np.int64))
-        if not hit.any():
-            return empty.empty_table()
-        alone = np.flatnonzero(hit & (members[at] <= crowd))
-        order, begins = _groups(anchors.gram[alone], anchors.context[alone])
-        order = alone[order]
-        firsts = order[begins]
-        n = len(begins)
+        own = pd.DataFrame({"gram": anchors.gram.view(np.int64), "context": anchors.context.view(np.int64), "id": ids,
+                            "k": np.arange(len(ids))})
+        asked = known.filter(pc.equal(known.column("state"), OPEN)).select(["gram", "context"]).to_pandas()
+        opened = own.merge(asked, on=["gram", "context"]).groupby(["gram", "context"], as_index=False).agg(
+            low=("id", "min"), high=("id", "max"), k=("k", "min"))
+        n = len(opened)
         out = [pa.Table.from_arrays([
-            pa.array(np.full(n, _slice_of(rows))), _signed(anchors.gram[firsts]), _signed(anchors.context[firsts]),
-            pa.array([anchors.bytes_of(k) for k in firsts], pa.binary()),
-            pa.array(np.minimum.reduceat(ids[order], begins) if n else [], pa.int64()),
-            pa.array(np.maximum.reduceat(ids[order], begins) if n else [], pa.int64()),
-            pa.array(np.zeros(n, bool))], schema=empty)]
+            pa.array(np.full(n, _slice_of(rows))), *(pa.array(opened[c].to_numpy(np.int64)) for c in ("gram", "context")),
+            pa.array([anchors.bytes_of(k) for k in opened["k"]], pa.binary()),
+            *(pa.array(opened[c].to_numpy(np.int64)) for c in ("low", "high"))], schema=empty)]
+        crowded = np.asarray(known.filter(pc.equal(known.column("state"), CROWDED)).column("gram"))
         windows: dict[bytes, list[int]] = {}
-        for k in np.flatnonzero(hit & (members[at] > crowd)):
-            text, own, gram = anchors.bytes_of(k), int(ids[k]), int(anchors.gram.view(np.int64)[k])
+        for k in np.flatnonzero(np.isin(own["gram"], crowded)):
+            text, doc, gram = anchors.bytes_of(k), int(ids[k]), int(own["gram"][k])
             for w in range(int(anchors.count[k])):
-                found = windows.setdefault(text[w:w + depth], [own, own, gram])
-                found[0], found[1] = min(found[0], own), max(found[1], own)
-        low, high, gram = zip(*windows.values(), strict=True) if windows else ((), (), ())
+                found = windows.setdefault(text[w:w + depth], [gram, doc, doc])
+                found[1], found[2] = min(found[1], doc), max(found[2], doc)
+        gram, low, high = zip(*windows.values(), strict=True) if windows else ((), (), ())
         n = len(windows)
         out.append(pa.Table.from_arrays([
             pa.array(np.full(n, _slice_of(rows))), pa.array(gram, pa.int64()), pa.nulls(n, pa.int64()),
-            pa.array(windows, pa.binary()), pa.array(low, pa.int64()), pa.array(high, pa.int64()),
-            pa.array(np.ones(n, bool))], schema=empty))
+            pa.array(windows, pa.binary()), pa.array(low, pa.int64()), pa.array(high, pa.int64())], schema=empty))
         return pa.concat_tables(out)
 
-    return texts.groupBy("slice").cogroup(shared.groupBy("slice")).applyInArrow(run, kind)
+    asking = shared.where(F.col("state") != REPEATED)
+    return texts.groupBy("slice").cogroup(asking.groupBy("slice")).applyInArrow(
+        run, "slice long, gram long, context long, bytes binary, low long, high long")
 
 
 def _lowest_of_windows(contexts: list[bytes], lowest: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -296,26 +317,11 @@ def _refined_buckets(members: DataFrame, depth: int, parts: int) -> DataFrame:
         coded = rows.column("bytes").combine_chunks().dictionary_encode()
         code, texts = np.asarray(coded.indices), coded.dictionary.to_pylist()
         order, at = _groups(code)
-        lowest = np.minimum.reduceat(low[order], at)
-        last = np.array([len(t) - depth for t in texts])
-        order, at = _groups(gram)
-        sizes = np.diff(np.append(at, len(order)))
-        several = np.minimum.reduceat(code[order], at) < np.maximum.reduceat(code[order], at)
-        open_rows = np.zeros(len(order), bool)
-        open_rows[order] = np.repeat(several, sizes)
-        open_codes = np.unique(code[open_rows])
-        whole = np.setdiff1d(np.arange(len(texts)), open_codes)
-        runs = [(whole, np.zeros(len(whole), np.int64), last[whole], lowest[whole])]
-        if len(open_codes):
-            which, place, least = _lowest_of_windows([texts[k] for k in open_codes], lowest[open_codes], depth)
-            new = np.ones(len(which), bool)
-            new[1:] = (which[1:] != which[:-1]) | (least[1:] != least[:-1])
-            begin = np.flatnonzero(new)
-            end = np.append(begin[1:], len(which)) - 1
-            runs.append((open_codes[which[begin]], place[begin], place[end], least[begin]))
-        of, first, until, least = (np.concatenate(c) for c in zip(*runs, strict=True))
-        by_code = np.argsort(of, kind="stable")
-        of, first, until, least = (c[by_code] for c in (of, first, until, least))
+        which, place, least = _lowest_of_windows(texts, np.minimum.reduceat(low[order], at), depth)
+        new = np.ones(len(which), bool)
+        new[1:] = (which[1:] != which[:-1]) | (least[1:] != least[:-1])
+        begin = np.flatnonzero(new)
+        of, first, until, least = which[begin], place[begin], place[np.append(begin[1:], len(which)) - 1], least[begin]
         begin = np.searchsorted(of, code)
         n = np.searchsorted(of, code, "right") - begin
         row = np.repeat(np.arange(len(code)), n)
@@ -326,15 +332,14 @@ def _refined_buckets(members: DataFrame, depth: int, parts: int) -> DataFrame:
             [pa.array(c) for c in (owner[row], gram[row], context[row], first[run_at], until[run_at], least[run_at])],
             ["slice", "gram", "context", "first", "last", "lowest"])
 
-    alone = members.where("not crowded").select("slice", "gram", "context", "bytes", "low", "high")
-    return alone.repartition(parts, "gram").mapInArrow(
+    return members.where("context is not null").repartition(parts, "gram").mapInArrow(
         run, "slice long, gram long, context long, first long, last long, lowest long")
 
 
 def _crowded_windows(members: DataFrame) -> DataFrame:
     """``slice, gram, bytes, lowest`` of windows in crowded buckets; a window is one row a slice."""
     lowest = F.min("low").over(Window.partitionBy("bytes"))
-    crowded = members.where("crowded").withColumn("lowest", lowest)
+    crowded = members.where("context is null").withColumn("lowest", lowest)
     return crowded.where("lowest < high").select("slice", "gram", "bytes", "lowest")
 
 
@@ -356,10 +361,11 @@ def _spans(anchors: Anchors, ids: np.ndarray, answers: pa.Table, depth: int) ->
     runs = answers.filter(pc.invert(crowded)).select(["gram", "context", "first", "last", "lowest"]).to_pandas()
     windows = answers.filter(crowded).select(["gram", "bytes", "lowest"]).to_pandas()
     found = pd.DataFrame({"gram": anchors.gram.view(np.int64), "context": anchors.context.view(np.int64), "doc": anchors.doc,
-                          "id": ids, "start": anchors.begin})
+                          "id": ids, "start": anchors.begin, "count": anchors.count})
     met = found.merge(runs, on=["gram", "context"])
     met = met[met["lowest"] < met["id"]]
-    parts = [pd.DataFrame({"doc": met["doc"], "begin": met["start"] + met["first"], "end": met["start"] + met["last"] + depth})]
+    until = met["last"].where(met["last"] >= 0, met["count"] - 1)  # -1: all windows of the context
+    parts = [pd.DataFrame({"doc": met["doc"], "begin": met["start"] + met["first"], "end": met["start"] + until + depth})]
     lowest = dict(zip(windows["bytes"], windows["lowest"], strict=True))
     single = []
     for k in np.flatnonzero(found["gram"].isin(windows["gram"].unique())):
@@ -369,7 +375,7 @@ def _spans(anchors: Anchors, ids: np.ndarray, answers: pa.Table, depth: int) ->
     return pd.concat([*parts, pd.DataFrame(single, columns=["doc", "begin", "end"])])
 
 
-def _without_spans(texts: DataFrame, answers: DataFrame, depth: int, id_type: str) -> DataFrame:
+def _without_spans(texts: DataFrame, answers: DataFrame, depth: int) -> DataFrame:
     def run(rows: pa.Table, known: pa.Table) -> pa.Table:
         spans: list[list[tuple[int, int]]] = [[] for _ in range(rows.num_rows)]
         if rows.num_rows and known.num_rows:
@@ -385,16 +391,23 @@ def _without_spans(texts: DataFrame, answers: DataFrame, depth: int, id_type: st
         return pa.table({"id": rows.column("id"), "kept": pa.array(kept, pa.binary()), "spans": pa.array(pairs, kind)})
 
     return texts.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(
-        run, f"id {id_type}, kept binary, spans {SPANS}")
-
-
-def _stored_by_slice(rows: DataFrame, slices: int) -> DataFrame:
-    """``rows`` as a table bucketed by ``slice``: a file a bucket, read in place by all that is grouped by slice."""
-    spark, buckets = rows.sparkSession, slices // 2 + 1
-    name = f"slices_{uuid.uuid4().hex}"
-    rows.repartition(buckets, "slice").write.bucketBy(buckets, "slice").option(
+        run, f"id long, kept binary, spans {SPANS}")
+
+
+def _stored_by_slice(rows: DataFrame) -> tuple[DataFrame, int]:
+    """``rows`` and ``slice`` as a table bucketed by it, read in place by all that is grouped by slice, and the number of
+    slices. A slice is rows of one input partition, so nothing is shuffled and repeated rows do not share a slice."""
+    spark, name = rows.sparkSession, f"slices_{uuid.uuid4().hex}"
+    sizes = rows.select(F.octet_length("text").alias("size"), F.spark_partition_id().alias("partition"))
+    total, last = sizes.agg(F.sum("size"), F.max("partition")).first()
+    partitions = (last or 0) + 1
+    each = (total or 0) // (partitions * SLICE_BYTES) + 1
+    part = F.pmod(F.xxhash64("id", "text"), F.lit(each))
+    dealt = rows.withColumn("slice", F.spark_partition_id().cast("long") * each + part)
+    slices = partitions * each
+    dealt.write.bucketBy(slices // 2 + 1, "slice").option("compression", "zstd").option(
         "path", new_run_dir(spark, "slices")).saveAsTable(name)
-    return spark.table(name)
+    return spark.table(name), slices
 
 
 def without_repeats(documents: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", text_col: str = "text",
@@ -402,17 +415,17 @@ def without_repeats(documents: DataFrame, depth: int = DEPTH, id_col: str = "doc
     """``id, kept, spans`` for each row: the bytes that are left, and the places of the removed runs."""
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     rows = documents.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    slices = total // SLICE_BYTES + 1
-    # the partition is part of the key, so that repeated rows do not share a slice
-    dealt = rows.withColumn("slice", F.pmod(F.xxhash64("id", "text", F.spark_partition_id()), F.lit(slices)))
-    texts = _stored_by_slice(dealt, slices)
+    texts, slices = _stored_by_slice(rows)
     parts = 2 * slices
-    shared = written(_shared_buckets(_initial_buckets(texts, depth), parts), "shared")
-    members = written(_members(texts, shared, depth, crowd), "members")
-    answers = _refined_buckets(members, depth, parts).withColumn("bytes", F.lit(None).cast("binary")).unionByName(
-        _crowded_windows(members), allowMissingColumns=True)
-    return _without_spans(texts, written(answers, "answers"), depth, "long")
+    shared = written(_shared_buckets(_initial_buckets(texts, depth), parts, crowd), "shared")
+    members = written(_members(texts, shared, depth), "members")
+    whole = shared.where(F.col("state") == REPEATED).select(
+        "slice", "gram", "context", F.lit(0).cast("long").alias("first"), F.lit(-1).cast("long").alias("last"), "lowest",
+        F.lit(None).cast("binary").alias("bytes"))
+    refined_runs = written(_refined_buckets(members, depth, parts), "refined")
+    answers = whole.unionByName(refined_runs, allowMissingColumns=True).unionByName(
+        written(_crowded_windows(members), "windows"), allowMissingColumns=True)
+    return _without_spans(texts, answers, depth)
 
 
 def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
