@@ -8,8 +8,9 @@ that are sorted, about one in seventeen bytes:
    member has a context, the bytes of all windows it anchors. Members with equal contexts are one: all but the smallest
    document are repeated there, and a bucket with one context is finished.
 2. What is left is refined, for the smallest document of each context: bytes are numbered by their 8-gram, then by the pair
-   (number here, number 8 further on), and so on until the numbers stand for ``depth`` bytes, each round sorting on
-   the numbers of the round before. Windows with one number are equal, and the smallest document of each is known.
+   (number here, number 8 further on), and so on until the numbers stand for ``depth`` bytes, each round using the
+   numbers of the round before. Windows are sorted by their numbers, equal ones are confirmed on their bytes (where two
+   differ, the numbers are made anew as exact ranks, by a sort in each round), and the smallest document of each is known.
 3. A bucket with too many members for one task is not refined there: its windows themselves become keys that Spark groups.
 
 Buckets and contexts are named by 64 bits each, so two contexts are taken for one with a chance of 2 to the power of -64
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -42,7 +44,7 @@ DEPTH, CROWD = 50, 20_000
 CONTEXTS = 32  # contexts of one bucket that a slice sends before it calls the bucket crowded
 SLICE_BYTES = 16 << 20
 REPEATED, OPEN, CROWDED = range(3)
-PIECE = 1 << 19  # windows looked at in one go, less than 2 to the power of PLACE_BITS
+PIECE = 1 << 16  # bytes looked at in one go, so that what is made of them stays in the caches
 PLACE_BITS = 20
 SPANS = "array<struct<begin:long,end:long>>"
 
@@ -130,8 +132,7 @@ class Anchors:
     def _piece(self, held: list[tuple[int, int, int]]) -> tuple:
         tail = self.depth - 1
         data = np.frombuffer(b"".join(self.texts[k][begin:end + tail] for k, begin, end in held), np.uint8)
-        grams = _longer(_mixed(_eight(data)), 8, self.length)
-        windows = _longer(grams, self.length, self.depth)
+        grams = _longer(_eight(data), 8, self.length) if self.length > 8 else _mixed(_eight(data))
         mask = np.uint64((1 << PLACE_BITS) - 1)
         marked = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)
         owner = (_sliding_least(marked, self.depth - self.length + 1) & mask).astype(np.int64)
@@ -147,7 +148,11 @@ class Anchors:
         first, part, anchor = place[at], part[at], owner[at]
         lead = anchor - first
         shape = (lead * self.depth + count).astype(np.uint64)
-        context = _pair(_pair(windows[first], windows[first + count - 1]), shape)  # these two cover all of it
+        steps = [*range(0, self.depth - self.length, self.length), self.depth - self.length]
+        context = _mixed(shape)
+        for at in (first, first + count - 1):  # these two windows cover all of it
+            for step in steps:
+                context = _pair(context, grams[at + step])
         docs, begins = np.array([k for k, _, _ in held]), np.array([begin for _, begin, _ in held])
         return docs[part], first - offsets[part] + begins[part], count, lead, grams[anchor], context
 
@@ -175,7 +180,7 @@ def _signed(numbers: np.ndarray) -> pa.Array:
 
 def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order by the keys, and the places in it where a group begins."""
-    order = np.lexsort(keys[::-1])
+    order = np.argsort(keys[0]) if len(keys) == 1 else np.lexsort(keys[::-1])
     new = np.ones(len(order), bool)
     new[1:] = np.any([key[order][1:] != key[order][:-1] for key in keys], axis=0)
     return order, np.flatnonzero(new)
@@ -297,11 +302,16 @@ def _lowest_of_windows(contexts: list[bytes], lowest: np.ndarray, depth: int) ->
     starts = np.cumsum(sizes + depth - 1) - (sizes + depth - 1)
     which = np.repeat(np.arange(len(contexts)), sizes)
     place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    numbers = refined(np.frombuffer(b"".join(contexts), np.uint8), depth)[starts[which] + place]
-    order, at = _groups(numbers)
-    least = np.minimum.reduceat(lowest[which][order], at)
+    data = np.frombuffer(b"".join(contexts), np.uint8)
+    at = starts[which] + place
+    eight = _eight(data)
+    numbers = _longer(_mixed(eight.copy()), 8, depth)[at]
+    order, begin = _groups(numbers)
+    one = np.repeat(at[order[begin]], np.diff(np.append(begin, len(order))))
+    if any((eight[at[order] + step] != eight[one + step]).any() for step in [*range(0, depth - 8, 8), depth - 8]):
+        order, begin = _groups(refined(data, depth)[at])  # two different windows met in one number
     out = np.empty(len(order), np.int64)
-    out[order] = np.repeat(least, np.diff(np.append(at, len(order))))
+    out[order] = _per_group(np.minimum.reduceat(lowest[which][order], begin), begin, len(order))
     return which, place, out
 
 
@@ -313,6 +323,15 @@ def _refined_buckets(members: DataFrame, depth: int, parts: int) -> DataFrame:
         rows = _read_all(batches)
         if rows is None:
             return
+        gram, sizes = np.asarray(rows.column("gram")), np.asarray(pc.binary_length(rows.column("bytes")))
+        order, begin = _groups(gram)
+        total = np.add.reduceat(sizes[order], begin)
+        part = (np.cumsum(total) - total) // PIECE  # whole buckets, about a piece of bytes together
+        edges = np.append(begin[np.append(True, part[1:] != part[:-1])], len(order))
+        for start, end in pairwise(edges.tolist()):
+            yield answered(rows.take(pa.array(order[start:end])))
+
+    def answered(rows: pa.Table) -> pa.RecordBatch:
         owner, gram, context, low, high = (np.asarray(rows.column(c)) for c in ("slice", "gram", "context", "low", "high"))
         coded = rows.column("bytes").combine_chunks().dictionary_encode()
         code, texts = np.asarray(coded.indices), coded.dictionary.to_pylist()
@@ -328,7 +347,7 @@ def _refined_buckets(members: DataFrame, depth: int, parts: int) -> DataFrame:
         run_at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + begin[row]
         taken = least[run_at] < high[row]
         row, run_at = row[taken], run_at[taken]
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [pa.array(c) for c in (owner[row], gram[row], context[row], first[run_at], until[run_at], least[run_at])],
             ["slice", "gram", "context", "first", "last", "lowest"])
 
