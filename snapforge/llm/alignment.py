@@ -22,6 +22,7 @@ import json
 from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
 from hashlib import sha256
+from itertools import chain
 from pathlib import Path
 from random import SystemRandom
 from typing import NamedTuple
@@ -144,16 +145,31 @@ def _encoded(tokenizer: ByteTokenizer | PieceTokenizer, parts: list[bytes]) -> t
     return [np.array(own, np.int64) for own in ids], whole
 
 
+def _counted(groups: list[tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Group, token and how often it stands there, sorted, from the tokens of each group."""
+    tokens = np.fromiter(chain.from_iterable(groups), np.int64)
+    group = np.repeat(np.arange(len(groups)), np.array([len(g) for g in groups], np.int64))
+    held, times = np.unique((group << 32) | tokens, return_counts=True)
+    return held >> 32, held & 0xFFFFFFFF, times
+
+
 class Slice:
     """Documents with their groups, and what the groups have in common."""
 
     def __init__(self) -> None:
         self.number = SystemRandom().getrandbits(62)  # a task that runs again writes another slice
-        self.groups: dict[tuple[bytes, bytes], int] = {}
+        self.groups: dict[tuple[tuple[int, ...], tuple[int, ...]], int] = {}
         self.texts: list[str] = []
         self.documents: list[tuple] = []
         self.tokens = 0
 
+    def _number(self, a: tuple[int, ...], b: tuple[int, ...]) -> int:
+        number = self.groups.get((a, b))
+        if number is None:
+            number = self.groups[a, b] = len(self.groups)
+            self.texts.append("|".join(",".join(map(str, ids)) for ids in (a, b)))
+        return number
+
     def add(self, key, whole: Fragment | None) -> None:
         """A document by the fragment of all of it, or by None if it has no tokens."""
         if whole is None or not len(whole.a):
@@ -161,17 +177,16 @@ class Slice:
             return
         a_at = np.searchsorted(whole.a_ends, whole.cuts, "right")
         b_at = np.searchsorted(whole.b_ends, whole.cuts, "right")
-        links = int((np.diff(a_at, prepend=0) * np.diff(b_at, prepend=0)).sum())
-        a, b = whole.a.astype("<u4").tobytes(), whole.b.astype("<u4").tobytes()
-        known, numbers, i, j = self.groups, [], 0, 0
-        for p, q in zip((4 * a_at).tolist(), (4 * b_at).tolist(), strict=True):
-            group = (a[i:p], b[j:q])
-            number = known.get(group)
-            if number is None:
-                number = known[group] = len(known)
-                self.texts.append("|".join(",".join(map(str, np.frombuffer(ids, "<u4"))) for ids in group))
-            numbers.append(number)
-            i, j = p, q
+        n_a, n_b = np.diff(a_at, prepend=0), np.diff(b_at, prepend=0)
+        links = int((n_a * n_b).sum())
+        numbers = np.empty(len(a_at), np.int64)
+        single = (n_a == 1) & (n_b == 1)  # most groups: looked up once for all places in the document
+        found, place = np.unique((whole.a[a_at[single] - 1] << 32) | whole.b[b_at[single] - 1], return_inverse=True)
+        numbers[single] = np.array([self._number((int(p >> 32),), (int(p & 0xFFFFFFFF),)) for p in found], np.int64)[place]
+        for k in np.flatnonzero(~single).tolist():
+            p, q = a_at[k], b_at[k]
+            numbers[k] = self._number(tuple(whole.a[p - n_a[k]:p].tolist()), tuple(whole.b[q - n_b[k]:q].tolist()))
+        numbers = numbers.tolist()
         digest = sha256(";".join(map(self.texts.__getitem__, numbers)).encode()).hexdigest()
         held, times = np.unique(np.array(numbers, "<i4"), return_counts=True)
         self.tokens += len(whole.a)
@@ -181,16 +196,13 @@ class Slice:
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of all groups one after the other: where a group begins, numbers of its distinct pairs, how often each is
         linked there; and the pairs."""
-        starts, pairs, times = [0], [], []
-        for a, b in self.groups:
-            own_a, n_a = np.unique(np.frombuffer(a, "<u4").astype(np.int64), return_counts=True)
-            own_b, n_b = np.unique(np.frombuffer(b, "<u4").astype(np.int64), return_counts=True)
-            pairs.append(((own_a[:, None] << 32) | own_b).ravel())
-            times.append((n_a[:, None] * n_b).ravel())
-            starts.append(starts[-1] + len(pairs[-1]))
-        all_pairs = np.concatenate(pairs) if pairs else np.zeros(0, np.int64)
-        distinct, numbers = np.unique(all_pairs, return_inverse=True)
-        return np.array(starts), numbers, np.concatenate(times) if times else np.zeros(0, np.int64), distinct
+        (of_a, a, n_a), (of_b, b, n_b) = (_counted([group[side] for group in self.groups]) for side in (0, 1))
+        begin, size = np.searchsorted(of_b, of_a), np.bincount(of_b, minlength=len(self.groups))[of_a]
+        row = np.repeat(np.arange(len(a)), size)  # each token of A meets the distinct tokens of B in its group
+        other = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + begin[row]
+        distinct, numbers = np.unique((a[row] << 32) | b[other], return_inverse=True)
+        starts = np.searchsorted(of_a[row], np.arange(len(self.groups) + 1))
+        return starts, numbers, n_a[row] * n_b[other], distinct
 
     def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         starts, pairs, times, distinct = self.pairs()
