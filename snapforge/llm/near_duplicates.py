@@ -19,7 +19,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
@@ -29,32 +28,14 @@ from pyspark.sql import functions as F
 
 from snapforge.llm.common import table, written
 from snapforge.llm.components import components
-from snapforge.llm.vocabulary import slices
+from snapforge.llm.vocabulary import Bounded, slices
 
 WIDTH, PERCENT = 5, 80
 BANDS, ROWS = 32, 4
 BLOCK_SHINGLES = 4_000_000
-TEXT_CHUNK, LONG_WORD = 1 << 20, 1 << 12
-BLANKS = np.zeros(256, bool)
-BLANKS[[0x20, *range(0x09, 0x0E)]] = True
+TEXT_CHUNK, LONG_WORD = 1 << 20, 1 << 6
 BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
-_random = np.random.default_rng(20)
-_BYTE = _random.integers(1, 1 << 63, 256, np.uint64)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-@lru_cache(maxsize=1)
-def _scales() -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, made by the workers that hash words."""
-    return _powers(_BASE, TEXT_CHUNK), _powers(np.uint64(pow(int(_BASE), -1, 1 << 64)), TEXT_CHUNK)
-
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
@@ -62,42 +43,32 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _long_hash(word: bytes) -> int:
+def _digest(word: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
 
 
-def _chunk_hashes(data: bytes) -> np.ndarray:
-    """A 64-bit number for each word: a polynomial of its bytes, from differences of running sums."""
-    codes = np.frombuffer(data, np.uint8)
-    blank = np.concatenate([[True], BLANKS[codes], [True]])
-    starts, ends = np.flatnonzero(blank[:-1] & ~blank[1:]), np.flatnonzero(~blank[:-1] & blank[1:])
-    up, down = _scales()
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[codes] * up[:len(codes)])])
-    out = (sums[ends] - sums[starts]) * down[starts]
-    for k in np.flatnonzero(ends - starts > LONG_WORD):
-        out[k] = _long_hash(data[starts[k]:ends[k]])
-    return out
+_known = Bounded(_digest)
+
+
+def _numbers(words: list[bytes]) -> np.ndarray:
+    """A digest of each word. Only short words are remembered."""
+    if max(map(len, words), default=0) <= LONG_WORD:
+        return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
+    return np.fromiter((_known[w] if len(w) <= LONG_WORD else _digest(w) for w in words), np.uint64, len(words))
 
 
 def word_hashes(text: str) -> np.ndarray:
-    """Numbers of all words, A-Z taken as a-z; memory beyond the text is bounded by a chunk and 8 bytes a word."""
+    """Digests of all words, A-Z taken as a-z; memory beyond the text is bounded by a chunk and 8 bytes a word."""
     data = text.encode("utf-8", "surrogatepass").lower()
     parts, begin = [], 0
     while begin < len(data):
-        end = len(data)
-        if end - begin > TEXT_CHUNK:
-            end = begin + TEXT_CHUNK
-            while end > begin and not BLANKS[data[end - 1]]:
-                end -= 1
-            if end == begin:  # a word longer than a chunk
-                match = BLANK.search(data, begin)
-                end = match.start() if match else len(data)
-                parts.append(np.array([_long_hash(data[begin:end])], np.uint64))
-                begin = end
-                continue
-        parts.append(_chunk_hashes(data[begin:end]))
+        end = min(begin + TEXT_CHUNK, len(data))
+        if end < len(data) and not BLANK.match(data, end):  # the word goes on
+            match = BLANK.search(data, end)
+            end = match.start() if match else len(data)
+        parts.append(_numbers(data[begin:end].split()))
         begin = end
-    return _mixed(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
 def shingles(text: str | None, width: int) -> np.ndarray:
