@@ -130,24 +130,20 @@ def listing_plan(spark: SparkSession, run: Run, config: DataFrame, manifest: Dat
     return spark.read.schema(work.schema).parquet(location)
 
 
-def _no_pattern(path: str) -> str:
-    """The path with what Hadoop would read as a pattern escaped."""
-    return re.sub(r"([\\{}\[\]*?,])", r"\\\1", path)
-
-
 def decode_and_write(
     spark: SparkSession, work: DataFrame, keys: DataFrame, cipher: str, codec: str, root: str, by: list[str],
     few_files: bool = False,
 ) -> None:
     """Decode the files of ``work(path, length, iv, ciphertext, *by)`` and add their lines and errors below ``root``.
 
-    The files are dealt to jobs by a hash of their path, so that the metadata of a job is always small enough to be
-    broadcast, whatever one collection holds. Each job scans its own files only: each is read once and its content is
-    never shuffled. Files beyond what a scan can read become error rows.
+    The files are dealt to jobs by ranges of their path, so that the metadata of a job is always small enough to be
+    broadcast, whatever one collection holds, and a folder is listed for one job, or two at a border. Each job scans its
+    own files only: each is read once and its content is never shuffled. Files beyond what a scan can read, and files
+    that are gone when it begins, become error rows.
     """
     location = new_run_dir(spark, "jobs")
-    n_jobs = -(-work.count() // FILES_PER_JOB)
-    dealt = work.withColumn("_job", F.pmod(F.xxhash64("path"), F.lit(max(n_jobs, 1))))
+    n_jobs = max(-(-work.count() // FILES_PER_JOB), 1)
+    dealt = work.repartitionByRange(n_jobs, "path").withColumn("_job", F.spark_partition_id())
     dealt.write.partitionBy("_job").parquet(location)
     schema = work.schema
     for number in range(n_jobs):
@@ -156,17 +152,19 @@ def decode_and_write(
             continue
         part = spark.read.schema(schema).parquet(folder)
         readable = part.where(F.col("length") <= MAX_FILE_BYTES)
-        refused = part.where(F.col("length") > MAX_FILE_BYTES).select(
-            *by, "path", F.lit(None).cast("string").alias("val"), F.lit("too large for one read").alias("error")
-        )
-        paths = [_no_pattern(row["path"]) for row in readable.select("path").collect()]  # FILES_PER_JOB on average
-        decoded = refused
+
+        def refused(rows: DataFrame, problem: str) -> DataFrame:
+            return rows.select(*by, "path", F.lit(None).cast("string").alias("val"), F.lit(problem).alias("error"))
+
+        decoded = refused(part.where(F.col("length") > MAX_FILE_BYTES), "too large for one read")
+        paths = [row["path"] for row in readable.select("path").collect()]  # FILES_PER_JOB on average
         if paths:
-            content = objects.read_objects(spark, paths).withColumn("path", files.plain_path(F.col("path")))
+            content = objects.read_chosen(spark, paths).withColumn("path", files.plain_path(F.col("path")))
             keyed = decode.with_plain_keys(readable, keys).select("path", "iv", "plain_key", *by)
+            gone = readable.join(content.select("path"), "path", "left_anti")
             joined = content.join(F.broadcast(keyed), "path")
             lines = decode.decode_objects(joined, cipher, codec, by, error_only=["path"])
-            decoded = lines.select(refused.columns).unionByName(refused)
+            decoded = lines.select(decoded.columns).unionByName(decoded).unionByName(refused(gone, "no content"))
         files.write_decoded(decoded, root, by, few_files, mode="append")
 
 

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # One task may write many collections; open writers instead of sorting the lines by collection.
     "spark.sql.maxConcurrentOutputFileWriters": "64",
+    # A stream of files lists the files of a batch by their paths; by default that is a task for each of them.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     # Chunks of file content travel in Arrow batches, so bound a batch by bytes as well as by rows.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(32 * 1024 * 1024),
 }
@@ -41,7 +43,9 @@ def build_session(app_name: str = "snapforge", master: str | None = None, **extr
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapforge.functions import names
 
+LOCAL_SCHEME = "^file:/+"
+# Names that are the same in a listing and in the metadata of a scan.
+PLAIN_NAME = re.compile(r"[A-Za-z0-9_./:=+@-]+")
+
 
 def _files(spark: SparkSession, roots: list[str], name_glob: str | None) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
@@ -28,6 +35,45 @@ def read_objects(spark: SparkSession, roots: str | list[str], name_glob: str | N
     return _files(spark, roots, name_glob).select("path", "content")
 
 
+def _outermost(folders: set[str]) -> list[str]:
+    """The folders that lie in no other of them."""
+    kept: list[str] = []
+    for folder in sorted(folders, key=lambda f: f.rstrip("/") + "/"):
+        if not kept or not folder.startswith(kept[-1].rstrip("/") + "/"):
+            kept.append(folder)
+    return kept
+
+
+def _no_pattern(path: str) -> str:
+    """The path with what Hadoop would read as a pattern escaped."""
+    return re.sub(r"([\\{}\[\]*?,])", r"\\\1", path)
+
+
+def _local(path: str) -> str:
+    return re.sub(LOCAL_SCHEME, "/", path)
+
+
+def read_chosen(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``path, content`` of these files, paths as a listing gave them; files that are gone have no row.
+
+    Their folders are listed, each once, and all other files are pruned by the scan's file metadata before a byte is
+    read. A scan that is given the files themselves asks the store for each of them in a task of its own; only names
+    with characters that file metadata writes in another way are read so.
+    """
+    odd = [path for path in paths if not PLAIN_NAME.fullmatch(path)]
+    plain = [path for path in paths if PLAIN_NAME.fullmatch(path)]
+    parts = []
+    if plain:
+        folders = _outermost({path.rpartition("/")[0] or "/" for path in plain})
+        quoted = ", ".join(f"'{_local(path)}'" for path in plain)
+        own = F.regexp_replace("_metadata.file_path", LOCAL_SCHEME, "/")
+        chosen = _files(spark, folders, None).withColumn("_own", own).where(F.expr(f"_own in ({quoted})"))
+        parts.append(chosen.select("path", "content"))
+    if odd:
+        parts.append(_files(spark, [_no_pattern(path) for path in odd], None).select("path", "content"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def is_under(path: Column, prefix: str) -> Column:
     """Under the prefix, but not the folder-marker key that equals it."""
     return F.startswith(path, F.lit(prefix)) & (path != prefix)
