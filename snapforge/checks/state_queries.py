@@ -9,7 +9,7 @@ from snapforge.functions import codes
 from snapforge.operators import alerts, changes, notices, policy, state
 from snapforge.session import new_run_dir
 from snapforge.sources import logs
-from snapforge.streaming import alarms, steps
+from snapforge.streaming import alarms, step_timers, steps
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -212,6 +212,23 @@ def state_changes_stream(spark, sf):
     return spark.read.parquet(f"{base}/updates").select("correlation_id", "step", "state", "event_id", "ledger_status")
 
 
+@query("state_changes_timed", CHANGES_SQL)
+def state_changes_timed(spark, sf):
+    """The same through keyed state with timers; an observation far behind the others closes what is still waiting."""
+    base = new_run_dir(spark, "timed")
+    observed = i.observed(_event_stream(spark, sf)).withColumn("step", changes.step_name(F.col("step")))
+    newest = i.table(spark, sf, "events").agg(F.max("ts").alias("ts"))
+    closing = newest.select(*(F.expr("ts + interval 30 days").alias("ts") if f.name == "ts" else
+                              F.lit("closing" if f.name == "correlation_id" else None).cast(f.dataType).alias(f.name)
+                              for f in observed.schema))
+    closing.coalesce(1).write.parquet(f"{base}/closing")
+    both = observed.unionByName(spark.readStream.schema(closing.schema).parquet(f"{base}/closing"))
+    step_timers.follow_steps_in_order(
+        both, AT, "purchase", "1 hour", f"{base}/updates", f"{base}/checkpoint", keep_ms=10**12).awaitTermination()
+    return spark.read.parquet(f"{base}/updates").where("not late").select(
+        "correlation_id", "step", "state", "event_id", "ledger_status")
+
+
 @query("latest_metrics", """
     SELECT event_type AS metric, 'db.user.c' || user_id AS collection,
            arg_max(CAST(json_extract(props, '$.k') AS BIGINT), (ts, event_id)) AS value
