@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegralType, StringType, StructField, StructType
 
 from snapforge.operators import state
 
@@ -25,8 +25,11 @@ class StepProcessor(StatefulProcessor):
     for another.
     """
 
-    def __init__(self, columns: StructType, order: list[str], at: str, final_step: str, keep_ms: int) -> None:
-        self.columns, self.order, self.at, self.final_step, self.keep_ms = columns, order, at, final_step, keep_ms
+    def __init__(
+        self, columns: StructType, order: list[str], numbers: set[str], final_step: str, keep_ms: int
+    ) -> None:
+        self.columns, self.order, self.numbers, self.final_step, self.keep_ms = columns, order, numbers, final_step, keep_ms
+        self.at = order[0]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -104,7 +107,8 @@ class StepProcessor(StatefulProcessor):
     def _place(self, values: tuple) -> tuple:
         """Nulls first, as in the batch operator."""
         now = dict(zip(self.columns.names, values, strict=True))
-        return tuple((now[c] is not None, now[c]) for c in self.order)
+        given = [int(now[c]) if c in self.numbers and now[c] is not None else now[c] for c in self.order]
+        return tuple((value is not None, value) for value in given)
 
     def close(self) -> None:
         pass
@@ -117,16 +121,20 @@ def follow_steps_in_order(
     """Write to ``updates`` the rows that the batch operator would give, once the watermark has passed them.
 
     ``order`` begins with the event time; ``delay`` is how far behind the newest observation another one may be. Rows have
-    the columns of the observations, ``ledger_status`` and ``late``: true for rows behind the watermark, which change
-    nothing. The folder is a file sink, so a repeated batch does not double its rows.
+    the columns of the observations, ``ledger_status`` and ``late``: true for rows behind the watermark or without a
+    time, which change nothing. The folder is a file sink, so a repeated batch does not double its rows.
     """
-    spark, at = observations.sparkSession, order[0]
-    columns = StructType([StructField(f.name, f.dataType, True) for f in observations.schema])
+    spark, given = observations.sparkSession, observations.schema
+    # whole numbers travel as text: beside nulls they would become floats in a pandas frame
+    numbers = {f.name for f in given if isinstance(f.dataType, IntegralType)}
+    columns = StructType([StructField(f.name, StringType() if f.name in numbers else f.dataType) for f in given])
     output = StructType([*columns, StructField("ledger_status", StringType()), StructField("late", BooleanType())])
     # the copy is what the processor sees: rows behind the watermark of the other one would be dropped without a word
-    marked = observations.withColumn("_at", F.col(at).cast("timestamp")).withWatermark("_at", delay).drop("_at")
+    marked = observations.withColumn("_at", F.col(order[0]).cast("timestamp")).withWatermark("_at", delay).select(
+        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in columns))
     out = marked.groupBy("correlation_id").transformWithStateInPandas(
-        StepProcessor(columns, order, at, final_step, keep_ms), output, "Append", "EventTime")
+        StepProcessor(columns, order, numbers, final_step, keep_ms), output, "Append", "EventTime")
+    out = out.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in given), "ledger_status", "late")
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider, None)
     spark.conf.set(provider, PROVIDER)  # keyed state with timers needs this store; a query keeps the setting it began with

@@ -15,7 +15,7 @@ def followed(spark, tmp_path, batches, **settings):
     """One file a batch, the last one with an observation far behind all others."""
     last = max(row[3] for rows in batches for row in rows) + timedelta(days=30)
     source = str(tmp_path / "observations")
-    for rows in [*batches, [("none", "a", "PENDING", last, 0, last)]]:
+    for rows in [*batches, [("none", "a", "PENDING", last, None, None)]]:
         spark.createDataFrame(rows, OBSERVED).coalesce(1).write.mode("append").parquet(source)
     stream = spark.readStream.schema(OBSERVED).option("maxFilesPerTrigger", 1).parquet(source)
     follow_steps_in_order(stream, ["ts", "seq"], "last", "3 hours", str(tmp_path / "updates"), str(tmp_path / "check"),
