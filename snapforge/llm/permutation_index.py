@@ -3,7 +3,9 @@
 A vector is represented by its nearest pivots in order. Vectors are dealt into blocks; in each block every pivot has an
 inverted file of the vectors it is near to, with its place in their order. A query goes through the files of its own
 nearest pivots in every block and adds up, per vector, how far the places differ (the footrule distance; a pivot that
-only one of the two has counts as the full length). The share of a block with the smallest sums is compared exactly.
+only one of the two has counts as the full length). The sums tell angles; as inner products also grow with the length of a
+vector, the likeness (how far a sum is below the block's mean) is weighted by it. The share of a block with the largest
+likeness is compared exactly, the same share whatever the size.
 
 Rules: a vector that is null, zero, or has null or non-finite components takes no part, nor do rows without an id or with
 another number of components than most rows have (of equally many, the larger). Rows equal in id and vector count once;
@@ -25,7 +27,7 @@ from snapforge.llm.common import table, written
 
 NEIGHBOURS = 20
 PIVOTS, LENGTH = 128, 64
-SHARE, LEAST = 4, 16  # one in SHARE of a block is compared exactly, LEAST times the wanted neighbours at least
+SHARE = 3  # one in SHARE of a block is compared exactly, the wanted neighbours at least
 SAMPLE = 4096  # rows that pivots are drawn from
 BLOCK, QUERIES_AT_ONCE = 8192, 4096
 
@@ -63,6 +65,8 @@ class Block:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, length: int = LENGTH) -> None:
         by_id = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[by_id], vectors[by_id]
+        scaled = self.vectors / np.abs(self.vectors).max()  # squares of very large or small components stay finite
+        self.lengths = np.linalg.norm(scaled, axis=1)
         found = orders(self.vectors, pivots, length)
         self.length = found.shape[1]
         self.files = np.full((len(pivots), len(ids)), self.length, np.int16)
@@ -81,8 +85,9 @@ class Block:
     def search(self, query: np.ndarray, order: np.ndarray, own: int, most: int, share: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and exact scores of the best candidates of the block."""
         distance = self.footrule(order)
-        wanted = max(-(-len(self.ids) // share), most * LEAST) + 1  # the query itself may be one
-        at = _first(distance, wanted)
+        likeness = self.lengths * np.maximum(distance.mean() - distance, 0)
+        wanted = max(-(-len(self.ids) // share), most) + 1  # the query itself may be one
+        at = _first(-likeness, wanted)
         at = at[self.ids[at] != own]
         scores = self.vectors[at] @ query
         best = _first(-scores, most)
