@@ -42,7 +42,7 @@ from snapforge.session import new_run_dir
 
 DEPTH, CROWD = 50, 20_000
 CONTEXTS = 32  # contexts of one bucket that a slice sends before it calls the bucket crowded
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 REPEATED, OPEN, CROWDED = range(3)
 PIECE = 1 << 16  # bytes looked at in one go, so that what is made of them stays in the caches
 PLACE_BITS = 20
