@@ -5,9 +5,9 @@ identifiers instead. Every stage's result is a table in the shared folder, so a
 
 Rules: whatever else ``documents`` holds goes with its row and is not changed, whatever its name; only ``text`` and
 ``n_chars`` follow a redaction. A null or empty text has no letter and goes in the first stage; texts with a letter stay,
-also where no row tells a language (no ``lang``, all such rows held out or without a doc_id). A null doc_id has no
-near duplicates and is judged as any other row. Repeated rows are one document and all stay or all go. An empty table
-gives an empty result, and an empty ``benchmark`` takes nothing out.
+also where no row tells a language (no ``lang``, all such rows held out or without a doc_id). Near duplicates are rows:
+of repeated rows, of rows without a doc_id and of several texts with one doc_id each is judged by its text. An empty
+table gives an empty result, and an empty ``benchmark`` takes nothing out.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapforge.llm import bpe_codec, decontamination, language_id, near_duplicates, secret_scan
-from snapforge.llm.common import table, written
+from snapforge.llm.common import fresh, table, written
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -44,9 +44,18 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts that five-word shingles link at 0.8 or more the smallest doc_id stays."""
-    gone = near_duplicates.near_duplicates(docs).where("not kept").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(written(gone, "gone"), "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of texts that five-word shingles link at 0.8 or more one row stays: the smallest doc_id's, one
+    without a doc_id if there is no other, of several the one with the smallest digest. Rows are judged by their text,
+    whatever their doc_id."""
+    number = fresh("row", docs.columns)
+    rows = written(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates.near_duplicates(rows, id_col=number).select("id", "component_id")
+    linked = written(found.join(rows.select(F.col(number).alias("id"), "doc_id", F.md5("text").alias("mark")), "id"),
+                     "linked")
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "mark", "id")
+    groups = linked.groupBy("component_id").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
+    gone = linked.join(groups, "component_id").where(F.col("id") != F.col("first.id")).select(F.col("id").alias(number))
+    return rows.join(written(gone, "gone"), number, "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
