@@ -283,3 +283,52 @@ def run_stamps(spark, sf):
 def sql_statements(spark, sf):
     pages = i.table(spark, sf, "pages")
     return pages.select("page_id", F.explode(text.statements(F.col("html"))).alias("statement"))
+
+
+@query("granted_paths", CHOSEN + """
+    , tagged AS (SELECT path, pii, owner FROM named LEFT JOIN config USING (collection) WHERE collection IS NOT NULL)
+    SELECT DISTINCT path, 'one-' || c.collection AS policy FROM tagged JOIN config AS c
+        ON starts_with(path, 'exp/full/' || c.collection || '.') OR starts_with(path, 'exp/full/retry/' || c.collection || '.')
+    WHERE NOT (starts_with(path, 'exp/full/retry/') AND coalesce(tagged.pii, '') = 'true')
+    UNION ALL SELECT DISTINCT path, 'db-' || d.db FROM tagged JOIN (SELECT DISTINCT db FROM config) AS d
+        ON regexp_matches(path, '^exp/.*/db\\.' || d.db || '\\.') WHERE owner = 'crown'""")
+def granted_paths(spark, sf):
+    """A policy per collection, closed to personal data below retry/, and one per database for what the crown owns."""
+    config = i.config(spark, sf)
+    nothing = F.expr("cast(map() AS map<string,array<string>>)")
+
+    def rule(frame, policy_name, effect, pattern, tags=nothing):
+        return frame.select(policy_name.alias("policy"), F.lit(effect).alias("effect"), pattern.alias("pattern"), tags.alias("tags"))
+
+    def tags(name, value):
+        return F.create_map(F.lit(name), F.array(F.lit(value)))
+
+    one = F.concat(F.lit("one-"), "collection")
+    database = config.select(F.col("tags")["db"].alias("db")).distinct()
+    rules = rule(config, one, "allow", F.concat(F.lit("exp/full/"), "collection", F.lit(".*")))
+    for more in (
+        rule(config, one, "allow", F.concat(F.lit("exp/full/retry/"), "collection", F.lit(".*"))),
+        rule(config, one, "deny", F.lit("exp/full/retry/*"), tags("PII", "true")),
+        rule(database, F.concat(F.lit("db-"), "db"), "allow", F.concat(F.lit("exp/*/db."), "db", F.lit(".*")),
+             tags("collection_tag", "crown")),
+    ):
+        rules = rules.unionByName(more)
+    tagged = listing.matched(_listed(spark, sf)).join(config, "collection", "left").select("path", "tags")
+    return policy.granted(tagged, rules)
+
+
+@query("listing_changes", _with(i.KEYS_SQL) + """
+    , before AS (SELECT name, max(length) AS length FROM keys WHERE starts_with(path, 'exp/full/') AND length % 10 <> 0
+                 GROUP BY name),
+    after AS (SELECT name, max(length + CASE WHEN starts_with(path, 'exp/full/retry/') THEN 1 ELSE 0 END) AS length
+              FROM keys WHERE starts_with(path, 'exp/full/') AND length % 10 <> 1 GROUP BY name)
+    SELECT coalesce(before.name, after.name) AS path, before.length AS old_length, after.length AS length,
+           CASE WHEN before.name IS NULL THEN 'added' WHEN after.name IS NULL THEN 'removed' ELSE 'changed' END AS change
+    FROM before FULL JOIN after ON before.name = after.name WHERE before.length IS DISTINCT FROM after.length""")
+def listing_changes(spark, sf):
+    """Two states of one folder: lengths that end in 0 are new, those in 1 are gone, what was exported again has grown."""
+    listed = i.keys(spark, sf).where(F.startswith("path", F.lit(i.PREFIX)))
+    again = F.startswith("path", F.lit(i.PREFIX + "retry/")).cast("long")
+    before = listed.where("length % 10 <> 0").select(F.col("name").alias("path"), "length")
+    after = listed.where("length % 10 <> 1").select(F.col("name").alias("path"), (F.col("length") + again).alias("length"))
+    return listing.listing_changes(before, after)

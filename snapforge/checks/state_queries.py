@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from snapforge.checks import inputs as i
 from snapforge.functions import codes
-from snapforge.operators import alerts, changes, notices, policy, state
+from snapforge.operators import alerts, changes, notices, patterns, policy, state
 from snapforge.session import new_run_dir
 from snapforge.sources import logs
 from snapforge.streaming import alarms, step_timers, steps
@@ -280,6 +282,25 @@ def alert_class(spark, sf):
     )
 
 
+def _rule_patterns() -> dict[str, str]:
+    """The rules of both clusters as JSON patterns."""
+    wanted = {"failed": ("TERMINATED_WITH_ERRORS", None), "running": ("RUNNING", None)}
+    wanted.update({outcome: ("TERMINATED", reason) for outcome, reason in alerts.REASONS.items()})
+    rules = {}
+    for kind, cluster in i.CLUSTERS.items():
+        for outcome, (cluster_state, reason) in wanted.items():
+            detail = {"state": [cluster_state], "name": [cluster]} | ({"stateChangeReason": [reason]} if reason else {})
+            rules[f"{kind}_{outcome}"] = json.dumps(
+                {"source": [alerts.EVENT_SOURCE], "detail-type": [alerts.EVENT_TYPE], "detail": detail})
+    return rules
+
+
+@query("fired_rules", ALERT + "SELECT event_id, kind || '_' || rule AS rule FROM classified")
+def fired_rules(spark, sf):
+    events = i.cluster_events(i.table(spark, sf, "events"))
+    return patterns.fired_rules(events, _rule_patterns()).select("event_id", "rule")
+
+
 def _readable(fired):
     return fired.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 

@@ -102,3 +102,23 @@ def table_collisions(collections: DataFrame) -> DataFrame:
     named = collections.select("collection", names.table_name(F.col("collection")).alias("table_name")).distinct()
     shared = named.groupBy("table_name").count().where("count > 1")
     return named.join(shared.select("table_name"), "table_name", "left_semi")
+
+
+ADDED, CHANGED, REMOVED = "added", "changed", "removed"
+
+
+def listing_changes(before: DataFrame, after: DataFrame, compare: tuple[str, ...] = ("length",)) -> DataFrame:
+    """``path, change`` of all objects that differ between two listings of one folder, with both values of ``compare``.
+
+    Both listings meet in one aggregate that combines before its shuffle, so nothing is joined. A path that a listing
+    holds several times counts once, with its largest values; null is a value like any other.
+    """
+    seen = F.struct(*compare)
+    sides = before.select("path", seen.alias("_old"), F.lit(None).cast(after.select(seen.alias("s")).schema["s"].dataType).alias("_new"))
+    sides = sides.unionByName(after.select(
+        "path", F.lit(None).cast(before.select(seen.alias("s")).schema["s"].dataType).alias("_old"), seen.alias("_new")))
+    met = sides.groupBy("path").agg(F.max("_old").alias("_old"), F.max("_new").alias("_new"))
+    change = F.when(F.col("_old").isNull(), ADDED).when(F.col("_new").isNull(), REMOVED).otherwise(CHANGED)
+    return met.where(~F.col("_old").eqNullSafe(F.col("_new"))).select(
+        "path", change.alias("change"),
+        *[F.col("_old").getField(c).alias(f"old_{c}") for c in compare], *[F.col("_new").getField(c).alias(c) for c in compare])
