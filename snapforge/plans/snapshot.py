@@ -6,7 +6,7 @@ import logging
 import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from snapforge.functions import dates, names
 from snapforge.operators import decode, listing, notices, parameters, state
 from snapforge.operators.records import flatten_equality
 from snapforge.session import new_run_dir
-from snapforge.sinks import files, tables
+from snapforge.sinks import claims, files, tables
 from snapforge.sources import objects
 from snapforge.sources import tables as sources
 
@@ -337,12 +337,25 @@ def _unfinished(spark: SparkSession, run: Run, config: DataFrame) -> DataFrame:
     return spark.read.schema(config.schema).parquet(location)
 
 
+def _claims(spark: SparkSession, run: Run) -> str:
+    """Folder of the run numbers, beside the state tables; Spark does not read folders that begin with ``_``."""
+    root = spark.catalog.getDatabase(run.state_database).locationUri
+    return claims.folder(f"{root}/_claims", run.correlation_id, f"snapshot-{run.snapshot_type}")
+
+
+def live_runs(spark: SparkSession, run: Run, lease: timedelta) -> list[int]:
+    """Numbers of the runs of this key that have not ended and began, or renewed their claim, within the lease."""
+    return claims.live(spark, _claims(spark, run), run.clock(), lease)
+
+
 def _open_ledger(spark: SparkSession, run: Run, started: datetime) -> DataFrame:
     """The ledger row of the run, written as in progress before any work; it carries run number and prefix."""
     product = f"snapshot-{run.snapshot_type}"
     asked = spark.createDataFrame([(run.correlation_id, product)], "correlation_id string, data_product string")
     table = f"{run.state_database}.run_ledger"
-    run_id = state.next_run_id(asked, spark.table(table)).first()["run_id"] if spark.catalog.tableExists(table) else 1
+    highest = state.next_run_id(asked, spark.table(table)).first()["run_id"] if spark.catalog.tableExists(table) else 1
+    # Runs that start together read the same ledger; the claim gives each a number of its own.
+    run_id = claims.claim(spark, _claims(spark, run), highest)
     at = F.lit(started)
     row = asked.select(
         "correlation_id",
@@ -403,6 +416,7 @@ def _record(
     ended = state.RUN_FAILED if broken else state.RUN_COMPLETED
     ended_row = ledger.withColumns({"status": F.lit(ended), "at": now, "expires_at": dates.expires_at(now)})
     tables.append_state(ended_row, f"{store}.run_ledger")
+    claims.release(spark, _claims(spark, run), ledger.first()["run_id"])
     announced = ledger.select(
         "correlation_id", F.col("output_prefix").alias("s3_prefix"), "snapshot_type", F.col("date").alias("export_date")
     )
