@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from snapforge.checks import inputs as i
 from snapforge.functions import json_text, names, text
-from snapforge.operators import decode, lookup, records
+from snapforge.operators import decode, records
 from snapforge.session import new_run_dir
 from snapforge.sinks import files, tables
 from snapforge.sources import tables as sources
@@ -36,7 +36,7 @@ def _new_database(spark) -> str:
 
 def _decoded(spark, sf, cipher: str, codec: str, objects: DataFrame | None = None, lineage: bool = True) -> DataFrame:
     objects = i.objects(spark, sf, cipher, codec) if objects is None else objects
-    keyed = lookup.join_measured(objects, i.key_table(spark, sf, cipher), "ciphertext", "left")
+    keyed = decode.with_plain_keys(objects, i.key_table(spark, sf, cipher))
     if lineage:
         return decode.decode_objects(keyed, cipher, codec, ["collection", "path"])
     return decode.decode_objects(keyed, cipher, codec, ["collection"], error_only=["path"])
@@ -64,7 +64,7 @@ def decode_eax_zlib(spark, sf):
 def decode_failures(spark, sf):
     """Content of toxic documents is cut in half; the others must come through whole."""
     labels = i.table(spark, sf, "labels").select("doc_id", "toxic")
-    flagged = lookup.join_measured(i.objects(spark, sf, "ctr", "gzip"), labels, "doc_id", "left")
+    flagged = i.objects(spark, sf, "ctr", "gzip").join(labels, "doc_id", "left")
     half = (F.length("content") / 2).cast("int")
     content = F.when(F.col("toxic") == 1, F.substring("content", F.lit(1), half)).otherwise(F.col("content"))
     decoded = _decoded(spark, sf, "ctr", "gzip", flagged.withColumn("content", content))
@@ -240,5 +240,5 @@ def message_envelope(spark, sf):
 @query("envelope_payload", "SELECT CAST(doc_id AS VARCHAR) AS id, text AS payload FROM documents")
 def envelope_payload(spark, sf):
     decoded = records.decode_envelope(i.envelopes(spark, sf)).select("id", "ciphertext", "iv", "db_object")
-    keyed = lookup.join_measured(decoded, i.key_table(spark, sf, "ctr"), "ciphertext", "left")
+    keyed = decode.with_plain_keys(decoded, i.key_table(spark, sf, "ctr"))
     return records.open_payload(keyed).select("id", "payload")

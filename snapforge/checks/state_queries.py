@@ -11,7 +11,7 @@ from snapforge.functions import codes
 from snapforge.operators import alerts, changes, notices, patterns, policy, state
 from snapforge.session import new_run_dir
 from snapforge.sources import logs
-from snapforge.streaming import alarms, step_timers, steps
+from snapforge.streaming import alarm_states, alarms, step_timers, steps
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -214,21 +214,30 @@ def state_changes_stream(spark, sf):
     return spark.read.parquet(f"{base}/updates").select("correlation_id", "step", "state", "event_id", "ledger_status")
 
 
-@query("state_changes_timed", CHANGES_SQL)
-def state_changes_timed(spark, sf):
-    """The same through keyed state with timers; an observation far behind the others closes what is still waiting."""
-    base = new_run_dir(spark, "timed")
-    observed = i.observed(_event_stream(spark, sf)).withColumn("step", changes.step_name(F.col("step")))
+def _closing(spark, sf, stream, base: str):
+    """The stream with one more row far behind the others, which closes what is still waiting."""
     newest = i.table(spark, sf, "events").agg(F.max("ts").alias("ts"))
     closing = newest.select(*(F.expr("ts + interval 30 days").alias("ts") if f.name == "ts" else
                               F.lit("closing" if f.name == "correlation_id" else None).cast(f.dataType).alias(f.name)
-                              for f in observed.schema))
+                              for f in stream.schema))
     closing.coalesce(1).write.parquet(f"{base}/closing")
-    both = observed.unionByName(spark.readStream.schema(closing.schema).parquet(f"{base}/closing"))
+    return stream.unionByName(spark.readStream.schema(closing.schema).parquet(f"{base}/closing"))
+
+
+def timed_updates(spark, sf):
+    """What keyed state with timers gives for all observations."""
+    base = new_run_dir(spark, "timed")
+    observed = i.observed(_event_stream(spark, sf)).withColumn("step", changes.step_name(F.col("step")))
     step_timers.follow_steps_in_order(
-        both, AT, "purchase", "1 hour", f"{base}/updates", f"{base}/checkpoint", keep_ms=10**12).awaitTermination()
-    return spark.read.parquet(f"{base}/updates").where("not late").select(
-        "correlation_id", "step", "state", "event_id", "ledger_status")
+        _closing(spark, sf, observed, base), AT, "purchase", "1 hour", f"{base}/updates", f"{base}/checkpoint",
+        keep_ms=10**12).awaitTermination()
+    return spark.read.parquet(f"{base}/updates")
+
+
+@query("state_changes_timed", CHANGES_SQL)
+def state_changes_timed(spark, sf):
+    """The same through keyed state with timers."""
+    return timed_updates(spark, sf).where("not late").select("correlation_id", "step", "state", "event_id", "ledger_status")
 
 
 @query("latest_metrics", """
@@ -322,3 +331,19 @@ def alarm_windows_stream(spark, sf):
     fired = alarms.alarm_stream(i.cluster_events(_event_stream(spark, sf)), i.CLUSTERS)
     alarms.write_alarms(fired, f"{base}/out", f"{base}/checkpoint", "complete").awaitTermination()
     return _readable(spark.read.parquet(f"{base}/out"))
+
+
+@query("alarm_changes_stream", ALERT + """
+    , fired AS (SELECT CAST(window_start AS TIMESTAMP) AS w, kind, rule FROM windows)
+    SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, kind, rule, 'ALARM' AS state
+    FROM fired WHERE (w - INTERVAL 60 SECOND, kind, rule) NOT IN (SELECT (w, kind, rule) FROM fired)
+    UNION ALL
+    SELECT strftime(w + INTERVAL 60 SECOND, '%Y-%m-%d %H:%M:%S'), kind, rule, 'OK'
+    FROM fired WHERE (w + INTERVAL 60 SECOND, kind, rule) NOT IN (SELECT (w, kind, rule) FROM fired)""")
+def alarm_changes_stream(spark, sf):
+    """Windows in append mode, and the alarms that go off and re-arm with them."""
+    base = new_run_dir(spark, "alarm-changes")
+    events = i.cluster_events(_event_stream(spark, sf))
+    fired = alarms.alarm_stream(_closing(spark, sf, events, base), i.CLUSTERS)
+    alarm_states.write_changes(fired, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return _readable(spark.read.parquet(f"{base}/out"))

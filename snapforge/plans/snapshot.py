@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-import re
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta
@@ -114,13 +114,19 @@ def described(manifest: DataFrame) -> DataFrame:
     return entries.where(F.col("_low").eqNullSafe(F.col("_high"))).select("path", "_low.*")
 
 
-def listing_plan(spark: SparkSession, run: Run, config: DataFrame, manifest: DataFrame) -> DataFrame:
+def listed_input(spark: SparkSession, run: Run) -> DataFrame:
+    """``path, name, length`` of every file below the input, listed once and kept as a table in the shared folder."""
+    listed = objects.list_objects(spark, run.input_root).select(files.plain_path(F.col("path")).alias("path"), "name", "length")
+    location = new_run_dir(spark, "listing")
+    listed.write.parquet(location)
+    return spark.read.schema(listed.schema).parquet(location)
+
+
+def listing_plan(spark: SparkSession, listed: DataFrame, config: DataFrame, manifest: DataFrame) -> DataFrame:
     """Metadata only: ``path, collection, handler, length, iv, ciphertext`` of every file to be decoded.
 
     Written once to the shared folder, as several steps read it. It holds no plaintext keys.
     """
-    listed = objects.list_objects(spark, run.input_root)
-    listed = listed.withColumn("path", files.plain_path(F.col("path")))
     chosen = listing.allowed(listing.matched(listing.last_per_name(listed)), config)
     work = chosen.join(described(manifest), "path", "left").select(
         "path", "collection", names.handler(F.col("collection")).alias("handler"), "length", "iv", "ciphertext"
@@ -133,8 +139,9 @@ def listing_plan(spark: SparkSession, run: Run, config: DataFrame, manifest: Dat
 def decode_and_write(
     spark: SparkSession, work: DataFrame, keys: DataFrame, cipher: str, codec: str, root: str, by: list[str],
     few_files: bool = False,
-) -> None:
-    """Decode the files of ``work(path, length, iv, ciphertext, *by)`` and add their lines and errors below ``root``.
+) -> Counter[str]:
+    """Decode the files of ``work(path, length, iv, ciphertext, *by)`` and add their lines and errors below ``root``;
+    returns how many lines, characters and errors were written, as the writes counted them.
 
     The files are dealt to jobs by ranges of their path, so that the metadata of a job is always small enough to be
     broadcast, whatever one collection holds, and a folder is listed for one job, or two at a border. Each job scans its
@@ -146,6 +153,7 @@ def decode_and_write(
     dealt = work.repartitionByRange(n_jobs, "path").withColumn("_job", F.spark_partition_id())
     dealt.write.partitionBy("_job").parquet(location)
     schema = work.schema
+    written: Counter[str] = Counter()
     for number in range(n_jobs):
         folder = f"{location}/_job={number}"
         if not files.exists(spark, folder):
@@ -165,15 +173,17 @@ def decode_and_write(
             joined = content.join(F.broadcast(keyed), "path")
             lines = decode.decode_objects(joined, cipher, codec, by, error_only=["path"])
             decoded = lines.select(decoded.columns).unionByName(decoded).unionByName(refused(gone, "no content"))
-        files.write_decoded(decoded, root, by, few_files, mode="append")
+        written.update(files.write_decoded(decoded, root, by, few_files, mode="append"))
+    return written
 
 
 def _decode(
     spark: SparkSession, run: Run, work: DataFrame, keys: DataFrame, found: Sequence[Row], dated: bool
-) -> set[str]:
-    """Write the lines of the collections; those with a file that could not be decoded are returned and leave none."""
+) -> tuple[set[str], Counter[str]]:
+    """Write the lines of the collections; those with a file that could not be decoded are returned and leave none. Also
+    returns what was written, of failed collections as well."""
     if not found:
-        return set()
+        return set(), Counter()
     root = run.data_root if dated else run.prefix
     by = ["collection", "export_date"] if dated else ["collection"]
     day = f"/export_date={run.export_date}" if dated else ""
@@ -187,7 +197,7 @@ def _decode(
     names_of = [row["collection"] for row in found]
     part = work.where(F.col("collection").isin(names_of)).withColumn("export_date", F.lit(run.export_date))
     part = part.select("path", "length", "iv", "ciphertext", *by)
-    decode_and_write(spark, part, keys, "ctr", "gzip", root, by, run.few_files)
+    written = decode_and_write(spark, part, keys, "ctr", "gzip", root, by, run.few_files)
     failures = files.read_failures(spark, root, by).where(F.col("collection").isin(names_of))
     if dated:
         failures = failures.where(F.col("export_date") == run.export_date)
@@ -195,7 +205,7 @@ def _decode(
     broken = {row["collection"] for row in files.set_aside_failures(failures, by, beside)}
     for collection in broken:
         clear(collection)
-    return broken
+    return broken, written
 
 
 def _location(spark: SparkSession, run: Run, collection: str, dated: bool) -> str:
@@ -262,7 +272,8 @@ def run_snapshot(
         config.write.parquet(location)
         config = spark.read.schema(config.schema).parquet(location)
 
-    work = listing_plan(spark, run, config, manifest)
+    listed = listed_input(spark, run)
+    work = listing_plan(spark, listed, config, manifest)
     found = (
         work.groupBy("collection", "handler")
         .agg(F.sum("length").alias("total_bytes"), F.count("*").alias("n_files"))
@@ -275,9 +286,12 @@ def run_snapshot(
         note(row["collection"], state.PROCESSING)
     store()
     failed: set[str] = set()
+    written: Counter[str] = Counter()
     for dated in (False, True):
         group = [row for row in found if (row["handler"] != "raw") == dated]
-        failed |= _decode(spark, run, work, keys, group, dated)
+        broken, counted = _decode(spark, run, work, keys, group, dated)
+        failed |= broken
+        written.update(counted)
 
     raw = {}
     for row in found:
@@ -318,7 +332,8 @@ def run_snapshot(
             note(row["collection"], state.EMPTY)
 
     store()
-    return _record(spark, run, config, work, spark.createDataFrame(history, STATUS_SCHEMA), ledger)
+    noted = spark.createDataFrame(history, STATUS_SCHEMA)
+    return _record(spark, run, config, listed, work, noted, ledger, written)
 
 
 def _unfinished(spark: SparkSession, run: Run, config: DataFrame) -> DataFrame:
@@ -383,25 +398,30 @@ def _sizes(objects_of: DataFrame, everything: DataFrame) -> DataFrame:
 
 
 def _record(
-    spark: SparkSession, run: Run, config: DataFrame, work: DataFrame, noted: DataFrame, ledger: DataFrame
+    spark: SparkSession, run: Run, config: DataFrame, listed: DataFrame, work: DataFrame, noted: DataFrame, ledger: DataFrame,
+    counted: Counter[str],
 ) -> DataFrame:
     """Tags and sizes of what was completed, times, notices, the outcome in the ledger."""
     latest = state.latest_status(noted, ["at", "seq"])
     store = run.state_database
     now = F.lit(run.clock())
     sound = latest.where(F.col("status") == state.COMPLETED).select("collection")
+    totals = [(f"decoded_{name}", "all_collections", counted[name]) for name in ("lines", "characters")]
     sized = [
-        _sizes(work, objects.list_objects(spark, run.input_root)).withColumn("metric", F.lit("input_bytes"))
+        _sizes(work, listed).withColumn("metric", F.lit("input_bytes")),
+        spark.createDataFrame(totals, "metric string, collection string, total_bytes long"),
     ]
-    written = None
-    for root, suffix in ((run.prefix, ""), (run.data_root, f"/export_date={run.export_date}/")):
-        if files.exists(spark, f"{root}/kind={files.LINES}"):
-            out = objects.list_objects(spark, f"{root}/kind={files.LINES}").where(F.contains("path", F.lit(suffix)))
+    left, written = None, None
+    for root, below, suffix in ((run.prefix, f"/kind={files.LINES}/", ""), (run.data_root, f"/kind={files.LINES}/", f"/export_date={run.export_date}/")):
+        if files.exists(spark, root):
+            found = objects.list_objects(spark, root)
+            left = found if left is None else left
+            out = found.where(F.contains("path", F.lit(below)) & F.contains("path", F.lit(suffix)))
             out = out.withColumn("collection", F.regexp_extract("path", "/collection=([^/]+)/", 1))
             out = out.join(sound, "collection", "left_semi")
             written = out if written is None else written.unionByName(out)
     if written is not None:
-        total = objects.list_objects(spark, run.prefix) if files.exists(spark, run.prefix) else written
+        total = left if files.exists(spark, run.prefix) else written
         sized.append(_sizes(written, total).withColumn("metric", F.lit("output_bytes")))
         tags = listing.tags_of(written, config, run.snapshot_type)
         tables.append_state(tags, f"{store}.object_tags")

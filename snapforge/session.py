@@ -70,15 +70,23 @@ def new_run_dir(spark: SparkSession, label: str) -> str:
 
 
 @contextmanager
-def overwrite_touched_partitions(spark: SparkSession) -> Iterator[None]:
-    """``insertInto`` ignores the writer option, so the session setting has to be switched and put back."""
-    name = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "dynamic")
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for a while; what a query was started with stays its own."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+@contextmanager
+def overwrite_touched_partitions(spark: SparkSession) -> Iterator[None]:
+    """``insertInto`` ignores the writer option, so the session setting has to be switched and put back."""
+    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        yield

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from pyspark.sql.types import BooleanType, IntegralType, StringType, StructField, StructType
 
 from snapforge.operators import state
+from snapforge.session import settings
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 LAST = "step string, state string, end_ms long"
@@ -135,13 +136,6 @@ def follow_steps_in_order(
     out = marked.groupBy("correlation_id").transformWithStateInPandas(
         StepProcessor(columns, order, numbers, final_step, keep_ms), output, "Append", "EventTime")
     out = out.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in given), "ledger_status", "late")
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider, None)
-    spark.conf.set(provider, PROVIDER)  # keyed state with timers needs this store; a query keeps the setting it began with
-    try:
+    # keyed state with timers needs this store; a query keeps the setting it began with
+    with settings(spark, {"spark.sql.streaming.stateStore.providerClass": PROVIDER}):
         return out.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(updates)
-    finally:
-        if before is None:
-            spark.conf.unset(provider)
-        else:
-            spark.conf.set(provider, before)
