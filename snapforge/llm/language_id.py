@@ -5,7 +5,7 @@ to the language whose codeword has the smallest loss, bits weighted by how well
 losses being close marks a text as ambiguous.
 
 Rules: learning sees ``text`` and non-null ``lang`` of the learning rows only, at most ``sample`` rows of a language,
-those with the smallest hash of the id, of each at most ``sample_chars`` characters; prediction reads whole texts. A text
+those with the smallest hash of the id, of each the whole text or four pieces spread over it; prediction reads whole texts. A text
 that is null or has no letter is ``und`` with score 0. Without any row to learn from all are ``und``. With one language
 only, all texts with a letter have it. Ties go to the language that comes first.
 """
@@ -17,16 +17,16 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from snapforge.llm.common import table
+from snapforge.llm.common import first_by_hash, table
 from snapforge.llm.vocabulary import slices
 
 FEATURES = 1 << 13
 ORDERS = (1, 2, 3)
-SAMPLE, SAMPLE_CHARS = 1000, 4000
+SAMPLE, SAMPLE_CHARS, PIECES = 1000, 4000, 4
 EXHAUSTIVE = 7  # languages up to which the code has every split
 CHUNK = 1 << 15
 AMBIGUOUS = 0.05
@@ -72,7 +72,14 @@ def codewords(n: int) -> np.ndarray:
         return code
     width, random = int(np.ceil(10 * np.log2(n))), np.random.default_rng(7)
     tries = [random.choice(np.array([-1, 1], np.int8), (n, width)) for _ in range(50)]
-    return max(tries, key=lambda c: min(int((a != b).sum()) for a, b in combinations(c, 2)) if n < 200 else 0)
+
+    def nearest(c: np.ndarray) -> int:
+        """Least number of bits in which two rows differ."""
+        alike = c.astype(np.int32) @ c.T.astype(np.int32)
+        np.fill_diagonal(alike, -width)
+        return (width - int(alike.max())) // 2
+
+    return max(tries, key=nearest)
 
 
 def has_letter(text: str | None) -> bool:
@@ -105,7 +112,7 @@ class Model:
 
 def fit(rows: list[tuple[str, str]], rounds: int = 60, penalty: float = 1e-4) -> Model:
     """From (text, language) pairs; the order of the pairs makes no difference to which model is meant."""
-    rows = sorted((t[:SAMPLE_CHARS], lang) for t, lang in rows if has_letter(t))
+    rows = sorted((t, lang) for t, lang in rows if has_letter(t))
     languages = sorted({lang for _, lang in rows})
     code = codewords(max(len(languages), 1))
     if len(languages) < 2:
@@ -133,17 +140,22 @@ def learn(documents: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", te
           lang_col: str = "lang") -> Model:
     """A model from the learning rows given: of each language the ``sample`` ids that come first by hash.
 
-    They are chosen from the narrow columns; per task no more than ``sample`` rows of a language leave the scan. What
-    comes to the driver is at most languages * sample texts of SAMPLE_CHARS characters.
+    They are chosen from the narrow columns. What comes to the driver is at most languages * sample texts of about
+    SAMPLE_CHARS characters.
     """
     rows = documents.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
         "id is not null and lang is not null")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
-    chosen = rows.select("id", "lang").distinct().withColumn("n", F.row_number().over(first)).where(
-        F.col("n") <= sample).select("id", "lang")
-    heads = rows.join(F.broadcast(chosen), ["id", "lang"])
-    taken = heads.groupBy("id", "lang").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("head"))
-    return fit([(r["head"], r["lang"]) for r in taken.collect()])
+    labelled = rows.select("lang", F.xxhash64(F.col("id").cast("string")).alias("h"), "id").distinct()
+    chosen = first_by_hash(labelled, "lang", "h", sample).select("id", "lang")
+    taken = rows.join(F.broadcast(chosen), ["id", "lang"]).groupBy("id", "lang").agg(F.min(spread(F.col("text"))).alias("piece"))
+    return fit([(r["piece"], r["lang"]) for r in taken.collect()])
+
+
+def spread(text: Column) -> Column:
+    """A text of SAMPLE_CHARS characters as it is, of a longer one as many in PIECES that lie evenly over it."""
+    length, size = F.char_length(text), SAMPLE_CHARS // PIECES
+    begins = [F.floor((length - size) * k / (PIECES - 1)).cast("int") + 1 for k in range(PIECES)]
+    return F.when(length > SAMPLE_CHARS, F.concat_ws(" ", *(F.substring(text, b, F.lit(size)) for b in begins))).otherwise(text)
 
 
 def is_held_out(id_col: str = "doc_id") -> Column:

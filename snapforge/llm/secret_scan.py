@@ -4,8 +4,9 @@ A token (text between blanks) is the begin of a secret, inside one, or outside.
 shapes and what else the text holds; the best labels are found by Viterbi. Spans of the field are added where no pattern
 has a span; spans of patterns always stay.
 
-The field is fitted to labels that the patterns give on a bounded sample (``sample`` texts with a pattern's span and as
-many without, those with the smallest hash, SAMPLE_CHARS characters and SAMPLE_WINDOWS windows of each). Most tokens of a
+The field is fitted to labels that the patterns give on a bounded sample: ``sample`` texts with a pattern's span and as
+many without, those with the smallest hash, and of each whole text at most SAMPLE_WINDOWS windows with a span and as many
+without, by hash as well. Most tokens of a
 text are plain words after plain words, without a digit of any script and not of the letters a-f only. If such a token's
 score for "outside" leads by more than two transitions can make up, the best path is outside there, so the text falls into
 short chains that are decoded one by one; that is exact, and where the fitted weights give no such lead, the whole text is
@@ -16,19 +17,21 @@ Rules: a null or empty text has no spans. Offsets count code points, ends are ex
 
 from __future__ import annotations
 
+import json
 import re
 import sys
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from snapforge.llm.common import table
+from snapforge.llm.common import first_by_hash, table, written
 from snapforge.llm.vocabulary import slices
 
 # The patterns of the contract, in the order in which kinds are listed.
@@ -40,7 +43,7 @@ ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 KINDS = ("assign", "access", "hex", "field")
 NAMES = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 
-SAMPLE, SAMPLE_CHARS, SAMPLE_WINDOWS = 600, 20_000, 50
+SAMPLE, SAMPLE_WINDOWS, WINDOW_CHARS = 600, 25, 20_000
 OUT, BEGIN, IN = 0, 1, 2
 TOKEN = re.compile(r"\S+")
 #: Tokens that are not plain words: a digit, an operator of assignments or of encoded text, a name, or long.
@@ -191,26 +194,41 @@ class Field:
         return text[begin:end] or None
 
 
+def windows(text: str) -> list[str]:
+    """The windows of six tokens that a text gives the sample, each as JSON: tokens, labels by the patterns, the tokens
+    before and after, and whether the text holds names and assignments. Windows hold an odd token or begin the text;
+    one of more than WINDOW_CHARS characters is not taken."""
+    tokens = [(m[0], m.start(), m.end()) for m in TOKEN.finditer(text)]
+    names, assignments, labels = bool(NAMES.search(text)), "=" in text, [OUT] * len(tokens)
+    ends = [e for _, _, e in tokens]
+    for begin, end, _ in base_spans(text):
+        first = bisect_right(ends, begin)
+        for k in range(first, len(tokens)):
+            if tokens[k][1] >= end:
+                break
+            labels[k] = BEGIN if k == first else IN
+    found: tuple[list[tuple[int, str]], ...] = ([], [])
+    for begin in sorted({k // 6 for k, (t, _, _) in enumerate(tokens) if ODD.match(t)} | {0}) if tokens else []:
+        part = slice(6 * begin, 6 * begin + 6)
+        words = [t for t, _, _ in tokens[part]]
+        before = tokens[6 * begin - 1][0] if begin else None
+        after = tokens[6 * begin + 6][0] if len(tokens) > 6 * begin + 6 else None
+        if sum(map(len, [*words, before or "", after or ""])) <= WINDOW_CHARS:
+            window = json.dumps([words, labels[part], before, after, names, assignments])
+            found[any(labels[part])].append((crc32(f"{begin}{window}".encode()), window))
+    return [window for some in found for _, window in sorted(some)[:SAMPLE_WINDOWS]]
+
+
 def fit(texts: list[str], rounds: int = 80, penalty: float = 0.05) -> Field:
-    """By the gradient of the likelihood of the patterns' labels; the order of the texts makes no difference."""
+    """A field from the windows of the texts."""
+    return fit_windows([w for text in texts if text for w in windows(text)], rounds, penalty)
+
+
+def fit_windows(sample: list[str], rounds: int = 80, penalty: float = 0.05) -> Field:
+    """By the gradient of the likelihood of the labels; the order of the windows makes no difference."""
     chains = []
-    for text in sorted(t for t in texts if t):
-        spans, names, assignments = base_spans(text), bool(NAMES.search(text)), "=" in text
-        tokens = [(m[0], m.start(), m.end()) for m in TOKEN.finditer(text)]
-        labels = np.zeros(len(tokens), int)
-        for begin, end, _ in spans:
-            inside = [k for k, (_, b, e) in enumerate(tokens) if b < end and e > begin]
-            labels[inside] = IN
-            labels[inside[0]] = BEGIN
-        odd = np.array([bool(ODD.match(t)) for t, _, _ in tokens])
-        near = np.flatnonzero(odd)
-        # windows of six tokens around odd ones, and the first one of the text
-        for begin in sorted({*(int(k) // 6 for k in near), 0})[:SAMPLE_WINDOWS] if tokens else []:
-            part = slice(6 * begin, 6 * begin + 6)
-            words = [t for t, _, _ in tokens[part]]
-            before = tokens[6 * begin - 1][0] if begin else None
-            after = tokens[6 * begin + 6][0] if len(tokens) > 6 * begin + 6 else None
-            chains.append((features(words, names, assignments, before, after), labels[part]))
+    for words, labels, before, after, names, assignments in map(json.loads, sorted(sample)):
+        chains.append((features(words, names, assignments, before, after), np.array(labels)))
     weights, transition = np.zeros((len(FEATURES), 3)), np.zeros((3, 3))
     weights[PLACE["plain"], OUT] = 1.0
     if not chains:
@@ -294,14 +312,22 @@ PATTERN_IN_TEXT = (r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\
 
 
 def learn(documents: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Field:
-    """A field from at most ``2 * sample`` texts: the first by hash of those with and of those without a pattern's span."""
+    """A field from at most ``2 * sample`` texts: the first by hash of those with and of those without a pattern's span.
+    Whole texts are judged, and their windows cut, by the tasks that read them."""
     rows = documents.where(F.col(text_col).isNotNull()).select(
-        F.xxhash64(F.col(id_col).cast("string"), text_col).alias("h"), F.substring(text_col, 1, SAMPLE_CHARS).alias("head"))
-    marked = rows.select("h", F.col("head").rlike(PATTERN_IN_TEXT).alias("shown")).distinct()
-    first = Window.partitionBy("shown").orderBy("h")
-    chosen = marked.withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample).select("h")
-    taken = rows.join(F.broadcast(chosen), "h").groupBy("h").agg(F.min("head").alias("head"))
-    return fit([r["head"] for r in taken.collect()])
+        F.xxhash64(F.col(id_col).cast("string"), text_col).alias("h"), F.col(text_col).alias("text"))
+    marked = written(rows.select("h", F.col("text").rlike(PATTERN_IN_TEXT).alias("shown")).distinct(), "marked")
+    chosen = first_by_hash(marked, "shown", "h", sample).select("h")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                found = [windows(t) for t in piece.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([piece.column("h"), pa.array(found, pa.list_(pa.string()))], ["h", "windows"])
+
+    taken = rows.join(F.broadcast(chosen), "h").mapInArrow(cut, "h long, windows array<string>")
+    once = taken.groupBy("h").agg(F.min("windows").alias("windows"))
+    return fit_windows([w for r in once.collect() for w in r["windows"]])
 
 
 def scan(rows: DataFrame, field: Field, text_col: str = "text", out: str = "spans", masked_col: str | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ them is explicitly allowed, else blocked if one is blocked, else allowed. Aliase
 of steps, by a canonical link or a refresh redirect in a page's html; URLs that differ in scheme or fragment only are
 one. A null URL, or one without ``://``, has an empty host and path, fits no rule and has no alias. Repeated rows are
 judged alike, and a null html has no links. All canonical links and refreshes of a page count; their targets are resolved
-against its ``base``, if it has one, or its URL, after ``&amp;`` is decoded. Targets of other schemes (``mailto:``) are
+against its ``base``, if it has one, or its URL, after ``&amp;`` is decoded; tags in comments and scripts are none. Targets of other schemes (``mailto:``) are
 ignored.
 """
 
@@ -36,7 +36,10 @@ RULES = (Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("
          Rule("allow", "org", "/fr/"))
 
 PARTS = "://([^/?#]*)([^?#]*)"
-CANONICAL = r"""(?i)<link\s[^>]*rel\s*=\s*["']?canonical["'\s>][^>]*"""
+CANONICAL = (r"""(?i)<link\s[^>]*rel\s*=\s*(?:["'](?:[^"'>]*\s)?canonical(?:\s[^"'>]*)?["'][^>]*"""
+             r"""|canonical(?:\s[^>]*)?/?>)""")
+# What a browser does not take for tags: comments, and what scripts hold; one that is not closed goes on to the end.
+NO_TAGS = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)"
 REFRESH = r"""(?i)<meta\s[^>]*http-equiv\s*=\s*["']?refresh["'\s>][^>]*"""
 HREF = r"""(?i)\shref\s*=\s*["']?([^"'\s>]+)"""
 BASE = r"(?i)<base\s[^>]*\shref\s*=[^>]*|<base\shref\s*=[^>]*"
@@ -107,7 +110,8 @@ def links(pages: DataFrame) -> DataFrame:
                            lambda found: F.regexp_extract(found, inside, 1))
 
     base = F.regexp_extract(F.regexp_extract("html", BASE, 0), HREF, 1)
-    both = pages.select("url", base.alias("base"), F.explode(F.concat(targets(CANONICAL, HREF), targets(REFRESH, TARGET))).alias("to"))
+    linked = pages.where(F.col("html").rlike("(?i)canonical|refresh"))
+    both = linked.select("url", F.regexp_replace("html", NO_TAGS, "").alias("html")).select("url", base.alias("base"), F.explode(F.concat(targets(CANONICAL, HREF), targets(REFRESH, TARGET))).alias("to"))
     both = both.where("to <> ''").select("url", unescaped(F.col("base")).alias("base"), unescaped(F.col("to")).alias("to"))
     both = both.withColumn("base", F.when(F.col("base") == "", F.col("url")).otherwise(
         F.coalesce(resolved(F.col("url"), F.col("base")), "url")))
@@ -177,7 +181,8 @@ WITH RECURSIVE judged AS (
   FROM pages),
 found AS (
   SELECT url, unnest([regexp_extract(regexp_extract(html, {_sql_text(CANONICAL)}), {_sql_text(HREF)}, 1),
-                      regexp_extract(regexp_extract(html, {_sql_text(REFRESH)}), {_sql_text(TARGET)}, 1)]) AS f FROM pages),
+                      regexp_extract(regexp_extract(html, {_sql_text(REFRESH)}), {_sql_text(TARGET)}, 1)]) AS f
+  FROM (SELECT url, regexp_replace(html, {_sql_text(NO_TAGS)}, '', 'g') AS html FROM pages)),
 targets AS (
   SELECT url, CASE WHEN starts_with(f, '//') THEN 'http:' || f
                    WHEN starts_with(f, '/') THEN regexp_extract(url, '^[^/?#]*://[^/?#]*') || f
