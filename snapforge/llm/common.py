@@ -41,14 +41,15 @@ def ascii_lower(text: Column) -> Column:
 def first_by_hash(rows: DataFrame, key: str, number: str, sample: int) -> DataFrame:
     """Of each key the ``sample`` rows that come first by ``number``, a hash as a long; ties go by the other columns.
 
-    No key is sorted whole: rows are counted by the first 16 bits of the hash, which tells where the sample of a key ends,
-    and only rows up to there are numbered. ``rows`` is read twice.
+    No key is sorted or shuffled whole: rows are counted by the first 12 bits of the hash, which tells where the sample of a
+    key ends, and only rows up to there are numbered. ``rows`` is read twice. The ends, one row a key, are broadcast: callers
+    take ``sample`` rows of each key to the driver, so there are never many keys.
     """
-    part = F.shiftright(number, 48)
+    part = F.shiftright(number, 52)
     counted = rows.groupBy(F.col(key).alias("_key"), part.alias("_part")).agg(F.count("*").alias("_n"))
     before = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     needed = counted.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).where(F.col("_before") < sample)
     last = needed.groupBy("_key").agg(F.max("_part").alias("_last"))
-    near = rows.join(last, F.col(key) == F.col("_key")).where(part <= F.col("_last")).select(*rows.columns)
+    near = rows.join(F.broadcast(last), F.col(key) == F.col("_key")).where(part <= F.col("_last")).select(*rows.columns)
     order = Window.partitionBy(key).orderBy(number, *(c for c in rows.columns if c not in (key, number)))
     return near.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= sample).drop("_place")
