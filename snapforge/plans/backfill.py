@@ -50,7 +50,7 @@ def _decode_days(
         return outcome
     folders = [f"{job.input_root}/{day}" for day in present]
     listed = objects.list_objects(spark, folders).withColumn("path", files.plain_path(F.col("path")))
-    start = len(job.input_root.rstrip("/")) + 2
+    start = len(files.plain(job.input_root).rstrip("/")) + 2
     below = F.substring(F.col("path"), F.lit(start), F.length("path"))
     work = listed.join(described(manifest), "path", "left").select(
         "path",
