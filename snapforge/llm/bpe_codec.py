@@ -11,8 +11,10 @@ their own identifiers. Repeated rows give equal results.
 from __future__ import annotations
 
 import codecs
+from array import array
 from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -75,6 +77,23 @@ def merged(symbols: list[int], vocabulary: Vocabulary) -> tuple[list[int], list[
     return [at[i] for i in places], [following[i] for i in places]
 
 
+def merged_short(symbols: list[int], vocabulary: Vocabulary) -> list[int]:
+    """The tokens of a short word: without a heap, the pair of lowest rank is found by looking at all of them."""
+    rank, product, size = vocabulary.rank.get, vocabulary.product, vocabulary.size
+    none = len(product)
+    at = list(symbols)
+    ranks = [rank(a * size + b, none) for a, b in pairwise(at)]
+    while ranks and (r := min(ranks)) < none:
+        i = ranks.index(r)
+        at[i:i + 2] = [product[r]]
+        del ranks[i]
+        if i < len(ranks):
+            ranks[i] = rank(at[i] * size + at[i + 1], none)
+        if i:
+            ranks[i - 1] = rank(at[i - 1] * size + at[i], none)
+    return at
+
+
 class WordEncoder:
     """One word as a stream of bytes: ``feed`` returns what is stable, ``finish`` the rest."""
 
@@ -119,7 +138,10 @@ class Encoder:
         self.vocabulary = vocabulary
         self.ahead = lookahead(vocabulary)
         self.stream = WordEncoder(vocabulary, self.ahead)
-        self.known = Bounded(self._word)
+        self.known = Bounded(self._short)
+
+    def _short(self, word: str) -> bytes:
+        return array("i", merged_short(self.vocabulary.symbols(word), self.vocabulary)).tobytes()
 
     def _word(self, word: str) -> bytes:
         return np.array(self.stream.feed(word.encode()) + self.stream.finish(), np.int32).tobytes()

@@ -128,15 +128,17 @@ class Patterns:
 def _later_letters() -> str:
     """Letters and digits of the regular expressions' Unicode version that are not assigned in Python's."""
     known = regex.compile(r"[\p{L}\p{N}]")
-    later = [c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn" and known.match(chr(c))]
+    later = [ord(c) for c in known.findall("".join(map(chr, range(0x110000)))) if unicodedata.category(c) == "Cn"]
     starts = [c for k, c in enumerate(later) if k == 0 or later[k - 1] != c - 1]
     ends = [c for k, c in enumerate(later) if k == len(later) - 1 or later[k + 1] != c + 1]
     return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends, strict=True))
 
 
 @lru_cache(maxsize=1)
-def _later() -> re.Pattern:
-    return re.compile(f"[{_later_letters()}]" if _later_letters() else r"(?!)")
+def _later() -> frozenset[str]:
+    """Those letters and digits one by one."""
+    spans = regex.findall("(.)-(.)", _later_letters(), regex.DOTALL)
+    return frozenset(chr(c) for a, b in spans for c in range(ord(a), ord(b) + 1))
 
 
 def pieces(text: str, vocabulary: Vocabulary) -> Iterator[tuple[str, object]]:
@@ -153,7 +155,7 @@ def pieces(text: str, vocabulary: Vocabulary) -> Iterator[tuple[str, object]]:
 def _words(text: str, begin: int, end: int, vocabulary: Vocabulary) -> Iterator[tuple[str, object]]:
     run = None
     for chunk, is_last in _chunks(text, begin, end):
-        patterns = vocabulary.patterns if chunk.isascii() or not _later().search(chunk) else vocabulary.exact_patterns()
+        patterns = vocabulary.patterns if chunk.isascii() or _later().isdisjoint(chunk) else vocabulary.exact_patterns()
         at = 0
         if run is not None:
             at = patterns.runs[run].match(chunk).end()

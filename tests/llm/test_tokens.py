@@ -60,3 +60,18 @@ def test_rows(spark):
     again = bpe_codec.decode(both.select("ids", "decoded"), PATH, out="again")
     assert again.where("not (decoded <=> again)").count() == 0 and both.where("size(ids) > 0").count() == 1
     assert bpe_codec.encode(rows.limit(0), PATH).count() == 0
+
+
+def test_short_words_need_no_stream(words, monkeypatch):
+    """Words that are remembered are merged at once, with the tokens of the stream."""
+    encoder, pick = bpe_codec.Encoder(words), random.Random(3)
+    made = ["".join(pick.choice("etaoinshré中🙂") for _ in range(pick.randint(1, 64))) for _ in range(500)]
+    expected = [encoder._word(word) for word in made]
+    monkeypatch.setattr(bpe_codec.WordEncoder, "feed", None)
+    assert [encoder.known[word] for word in made] == expected
+
+
+def test_later_letters_as_by_pattern():
+    later = vocabulary._later()
+    assert all((c in later) == bool(vocabulary.regex.match(f"[{vocabulary._later_letters()}]", c))
+               for c in map(chr, [*range(0x3000), *range(0x1E000, 0x20000)]))
