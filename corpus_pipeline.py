@@ -12,12 +12,15 @@ table gives an empty result, and an empty ``benchmark`` takes nothing out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapforge.llm import bpe_codec, decontamination, language_id, near_duplicates, secret_scan
 from snapforge.llm.common import fresh, table, written
+from snapforge.session import bound_batches
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -78,9 +81,20 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _bounded(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage with Arrow batches of bounded size, which an executor's Python workers hold several of."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [("language ID", keep_languages), ("MinHash near-dedup", drop_near_duplicates),
           ("benchmark decontamination", drop_contaminated), ("secret scans", redact_secrets),
           ("BPE encoding and decoding", encode_tokens)]
+STAGES = [(name, _bounded(stage)) for name, stage in STAGES]
 ORACLE_SQL = None
 
 
