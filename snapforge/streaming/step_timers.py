@@ -59,9 +59,8 @@ class StepProcessor(StatefulProcessor):
                     fresh.append(self._stored(values))
         end = self._known()[2]
         fresh = [v for v in fresh if end is None or self._ms(v) > end + self.keep_ms]
-        for values in fresh:
-            self.waiting.appendValue(values)
         if fresh:
+            self.waiting.appendList(fresh)  # one message to the store for all, not one for each
             self.handle.registerTimer(min(map(self._ms, fresh)))
         yield from self._frame(late)
 
