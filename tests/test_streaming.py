@@ -152,3 +152,49 @@ def test_new_files_are_ingested_once(spark, exports, tmp_path):
         ("db.core.contract.01.gz.enc", "Completed", 0), ("db.core.contract.02.gz.enc", "Completed", 1),
         ("db.core.contract.03.gz.enc", "Failed_Processing", 1), ("db.other.thing.01.gz.enc", "Unlisted", 0), ("odd", "Rejected", 1),
     ]
+
+
+def test_a_batch_takes_few_jobs_and_leaves_few_files(spark, exports, tmp_path):
+    """Some twenty jobs a batch and a file of each decoding task and collection made many batches of small files slow."""
+    names = [f"db.core.c{chr(97 + k % 5)}.{k:02d}.gz.enc" for k in range(30)]
+    made = exports().write({name: f"{name}\n" for name in names} | {"db.other.thing.01.gz.enc": "no"}, corrupt=(names[7],))
+    known = spark.createDataFrame([(f"db.core.c{letter}", {}) for letter in "abcde"], "collection string, tags map<string,string>")
+    manifest, keys = made.manifest, made.key_table
+    stream = ingest.ingest_files(
+        spark, str(made.root), known, lambda: manifest, lambda: keys, str(tmp_path / "out"), str(tmp_path / "check"), 10)
+    stream.awaitTermination()
+    became = spark.read.parquet(str(tmp_path / "out_files")).groupBy("batch_id", "status").count().collect()
+    batches = {r["batch_id"] for r in became}
+    assert len(batches) == 4
+    assert {s: sum(r["count"] for r in became if r["status"] == s) for s in ("Completed", "Failed_Processing", "Unlisted")} == {
+        "Completed": 29, "Failed_Processing": 1, "Unlisted": 1}
+    assert sorted(r["value"] for r in spark.read.text(str(tmp_path / "out" / "kind=lines")).collect()) == sorted(set(names) - {names[7]})
+    for folder in (tmp_path / "out" / "kind=lines").glob("collection=*/batch_id=*"):
+        assert len(list(folder.glob("part-*"))) == 1
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(str(stream.runId))) <= 16 * len(batches)
+
+
+def test_a_batch_asks_a_new_manifest_and_new_keys_again(spark, exports, tmp_path):
+    """A frame that is given again is read once; frames that are new for each batch are not taken for the last ones."""
+    made = exports().write({f"db.core.contract.{k:02d}.gz.enc": f"{k}" for k in range(3)})
+    known = spark.createDataFrame([("db.core.contract", {})], "collection string, tags map<string,string>")
+    path, empty = spark.createDataFrame(made.entries[:0], made.manifest.schema), spark.createDataFrame([], made.key_table.schema)
+    manifests, keys = iter([path, made.manifest, made.manifest]), iter([made.key_table, empty, made.key_table])
+    ingest.ingest_files(
+        spark, str(made.root), known, lambda: next(manifests), lambda: next(keys), str(tmp_path / "out"), str(tmp_path / "check"), 1
+    ).awaitTermination()
+    became = spark.read.parquet(str(tmp_path / "out_files")).orderBy("batch_id").collect()
+    assert [(r["status"], r["error"]) for r in became] == [
+        ("Failed_Processing", "no metadata or data key"), ("Failed_Processing", "no metadata or data key"), ("Completed", None)]
+
+
+def test_a_repeated_batch_replaces_its_output(spark, exports, tmp_path):
+    made = exports().write({"db.core.contract.01.gz.enc": "a", "db.core.contract.02.gz.enc": "b"})
+    known = spark.createDataFrame([("db.core.contract", {})], "collection string, tags map<string,string>")
+    for _ in range(2):  # a checkpoint of its own each time: the batch comes again
+        ingest.ingest_files(
+            spark, str(made.root), known, lambda: made.manifest, lambda: made.key_table,
+            str(tmp_path / "out"), str(tmp_path / f"check-{_}"),
+        ).awaitTermination()
+    assert sorted(r["value"] for r in spark.read.text(str(tmp_path / "out" / "kind=lines")).collect()) == ["a", "b"]
+    assert spark.read.parquet(str(tmp_path / "out_files")).count() == 2
